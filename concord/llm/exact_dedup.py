@@ -23,7 +23,11 @@ from pyspark.sql import functions as F
 
 from concord.llm.common import WHITE, fresh, located, text_of, written
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The state's store; without preallocation an open store takes the disk that it fills and not 4 MB a partition more.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -48,9 +52,10 @@ class DedupState:
         rows = (docs if "__file" in docs.columns else located(docs)).select("doc_id", "__file", "__row", digest.alias("sha")).withColumn("key", self.key(F.col("sha")))
         rows.write.mode("append").parquet(f"{self.path}/log")
         log = self.spark.read.schema(rows.schema).parquet(f"{self.path}/log")
-        conf, name = self.spark.conf, "spark.sql.streaming.stateStore.providerClass"
-        before = conf.get(name, None)
-        conf.set(name, PROVIDER)
+        conf = self.spark.conf
+        before = {name: conf.get(name, None) for name in STORE}
+        for name, value in STORE.items():
+            conf.set(name, value)
         try:
             (
                 self.spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", self.bytes).parquet(f"{self.path}/log")
@@ -60,7 +65,8 @@ class DedupState:
                 .start().awaitTermination()
             )
         finally:
-            conf.set(name, before) if before else conf.unset(name)
+            for name, value in before.items():
+                conf.set(name, value) if value is not None else conf.unset(name)
         return log
 
     def groups(self) -> DataFrame:
