@@ -42,6 +42,8 @@ def located(docs: DataFrame) -> DataFrame:
 
     Rows that come straight from files have a place there; others are written to the shared folder first.
     """
+    if {"__file", "__row"} <= set(docs.columns):
+        return docs
     try:
         return docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
     except Exception as e:  # the frame isn't a plain scan of files

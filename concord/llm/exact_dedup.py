@@ -49,7 +49,7 @@ class DedupState:
     def ingest(self, docs: DataFrame) -> DataFrame:
         """Log the digests of docs and run the stream until it has seen all of the log; the log's rows."""
         digest = sha(normalised(text_of()))
-        rows = (docs if "__file" in docs.columns else located(docs)).select("doc_id", "__file", "__row", digest.alias("sha")).withColumn("key", self.key(F.col("sha")))
+        rows = located(docs).select("doc_id", "__file", "__row", digest.alias("sha")).withColumn("key", self.key(F.col("sha")))
         rows.write.mode("append").parquet(f"{self.path}/log")
         log = self.spark.read.schema(rows.schema).parquet(f"{self.path}/log")
         conf = self.spark.conf
