@@ -131,6 +131,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS,
     return spark.createDataFrame([], SCHEMA) if out is None else out
 
 
+def decontaminated(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, share: float = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of docs without an overlap, with all their columns and no others; the benchmark's blocks one after the other."""
+    at = docs.columns.index("text")
+    spark = docs.sparkSession
+
+    def clean_of(items):
+        sent = spark.sparkContext.broadcast(items)
+
+        def run(batches):
+            block, hasher = Block(sent.value, min_words, share), WordHash(plain_words=True)
+            for b in batches:
+                clean = [t.as_py() is None or not block.overlaps(hasher.of(t.as_buffer().to_pybytes())) for t in b.column(at)]
+                yield b.filter(pa.array(clean, pa.bool_()))
+
+        return run
+
+    out = docs
+    for items in blocks(benchmark, block_words):
+        out = out.mapInArrow(clean_of(items), docs.schema)
+    return out
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 

@@ -138,16 +138,33 @@ def identify(docs: DataFrame, model: Identifier, keep: tuple[str, ...] = ("doc_i
     return docs.select(*keep, F.col("text").cast("string").cast("binary").alias("__text")).mapInArrow(run, schema)
 
 
+def identified(docs: DataFrame, model: Identifier) -> DataFrame:
+    """The rows of docs that get a language, with all their columns and no others."""
+
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            yes = [model.predict(None if t.as_py() is None else t.as_buffer().to_pybytes())[0] != "und" for t in b.column(at)]
+            yield b.filter(pa.array(yes, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def held_for_test():
+    """Rows that nothing is learned from: a remainder of 2, and null ids."""
+    return F.coalesce(remainder(4) == 2, F.lit(True))
+
+
 def remainder(n: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    held = F.coalesce(remainder(4) == 2, F.lit(True))
-    model = learn(docs.where(~held))
+    model = learn(docs.where(~held_for_test()))
     found = identify(docs.select("text", "doc_id"), model)
-    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
+    return found.select("doc_id", held_for_test().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
 QUERIES = {"op5_language_id": op5_language_id}

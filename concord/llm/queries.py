@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("exact_dedup", "histogram_shards", "packing", "token_counts", "language_id", "decontamination", "minhash_join", "lm_scoring", "chat_windows")
+MODULES = ("exact_dedup", "histogram_shards", "packing", "token_counts", "language_id", "decontamination", "minhash_join", "lm_scoring", "chat_windows", "substring_dedup")
 
 
 def _gather(name: str) -> dict:
