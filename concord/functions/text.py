@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Strings that stand for no value.
 NULL_LIKE = ("", "na", "n/a", "nan", "none", "null", "nil", "nas", "-", "--", "n.a", "n.a.")
@@ -24,7 +25,7 @@ def _plain_letters() -> tuple[str, str]:
 MARKED, PLAIN = _plain_letters()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Compatibility composition. Arrow UDF: Spark has no such function; use it only for feeds that need it."""
     return s.map(lambda x: None if x is None else x if x.isascii() else unicodedata.normalize("NFKC", x))
