@@ -112,8 +112,8 @@ def _address_sql(c: str) -> str:
 
 
 _STOPS = ", ".join(f"'{w}'" for w in fields.ADDRESS_STOPWORDS)
-query("address_norm", lambda s, d: table(s, d, "documents").withColumn("a", fields.address_norm(text.clean_text(F.col("text")))).select("doc_id", F.md5("a").alias("address"), F.size(fields.address_tokens(F.col("a"))).alias("n_tokens"), F.size(fields.address_tokens(F.col("a"), core=True)).alias("n_core")),
-      f"SELECT doc_id, md5(a) AS address, len(list_filter(string_split(coalesce(a, ''), ' '), lambda t: length(t) >= 2)) AS n_tokens, len(list_filter(string_split(coalesce(a, ''), ' '), lambda t: length(t) >= 2 AND t NOT IN ({_STOPS}))) AS n_core FROM (SELECT doc_id, {_address_sql('c')} AS a FROM (SELECT doc_id, {_clean('text')} AS c FROM documents))")
+query("address_norm", lambda s, d: table(s, d, "documents").withColumn("a", fields.address_norm(text.clean_text(text.ascii_fold(F.col("text"))))).select("doc_id", F.md5("a").alias("address"), F.size(fields.address_tokens(F.col("a"))).alias("n_tokens"), F.size(fields.address_tokens(F.col("a"), core=True)).alias("n_core")),
+      f"SELECT doc_id, md5(a) AS address, len(list_filter(string_split(coalesce(a, ''), ' '), lambda t: length(t) >= 2)) AS n_tokens, len(list_filter(string_split(coalesce(a, ''), ' '), lambda t: length(t) >= 2 AND t NOT IN ({_STOPS}))) AS n_core FROM (SELECT doc_id, {_address_sql('c')} AS a FROM (SELECT doc_id, {_clean('text')} AS c FROM (SELECT doc_id, strip_accents(replace(text, 'ß', 'ss')) AS text FROM documents)))")
 query("postal_extract", lambda s, d: table(s, d, "documents").select("doc_id", fields.postal(F.col("text"), fields.POSTAL_FIELD).alias("field"), fields.postal(F.col("text"), fields.POSTAL_ADDRESS).alias("address")), r"SELECT doc_id, nullif(regexp_extract(text, '([1-9][0-9]{5})', 1), '') AS field, nullif(regexp_extract(text, '\b([1-9][0-9]{5})\b', 1), '') AS address FROM documents")
 query("url_domains", lambda s, d: table(s, d, "pages").select("page_id", contacts.url_host(F.col("url")).alias("host"), contacts.registered_domain(contacts.url_host(F.col("url"))).alias("domain")),
       "SELECT page_id, host, array_to_string(string_split(host, '.')[-2:], '.') AS domain FROM (SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)), '^www\\.', '') AS host FROM pages)".replace("\\\\", "\\"))

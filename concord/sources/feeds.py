@@ -35,8 +35,9 @@ def read_feed(spark: SparkSession, path: str, provider: str) -> DataFrame:
     parallel and twice, and no task sees more than its part.
     """
     schema = ", ".join(f"{c} string" for c in (*STRINGS, *DOUBLES, *LONGS)) + ", __bad string"
-    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", "__bad").option("primitivesAsString", True).json(path)
-    rows = canonical(raw.where("__bad is null")).withColumns({"__part": F.spark_partition_id(), "__id": F.monotonically_increasing_id()})
+    line = F.from_json("value", schema, {"columnNameOfCorruptRecord": "__bad"}).alias("x")
+    raw = spark.read.text(path).where("trim(value) <> ''").select(line).where("x is not null and x.__bad is null").select("x.*")
+    rows = canonical(raw).withColumns({"__part": F.spark_partition_id(), "__id": F.monotonically_increasing_id()})
     sizes = {r["__part"]: r["n"] for r in rows.groupBy("__part").agg(F.count("*").alias("n")).collect()}  # one row for each partition
     starts, total = {}, 0
     for part in sorted(sizes):
