@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
 
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="concord-shared-")
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """df, written once below ``spark.checkpoint.dir`` (where unset, a new local folder, for tests) and read from there."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="concord-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
