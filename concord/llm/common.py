@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,13 @@ WHITE = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where unset (tests), a new local one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="concord-shared-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    """The folder of ``spark.checkpoint.dir``; where unset (tests), a local one of this process."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+
+
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="concord-shared-")
 
 
 def fresh(spark: SparkSession, label: str) -> str:
@@ -84,11 +86,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = toward_min(both, larger_only=True)
         # small star: each u with its smaller neighbours
-        small = toward_min(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), larger_only=False)
-        now = written(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label)
-        found = now.agg(F.count("*"), F.count_distinct("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        roots_linked = now.select("u").distinct().join(now.select(F.col("v").alias("u")).distinct(), "u", "left_semi").limit(1).count()
-        if (found[0] == found[1] and not roots_linked) or found == mark:
+        small = toward_min(large, larger_only=False)
+        now = written(small, label)
+        # done when nothing changes: one aggregate of one row tells, so no other pass over the links is needed
+        found = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if found == mark or not found[0]:
             break
         mark = found
     return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())

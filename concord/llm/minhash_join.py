@@ -1,17 +1,18 @@
 """Near-duplicates by an inverted join of signature coordinates.
 
 A document is the set of its n-word shingles. Documents with equal sets are one set from the start. Each set
-is posted under its 64 pairs of coordinate and least hash value. Two sets with enough equal coordinates share
+is posted under its 64 pairs of coordinate and value. Two sets with enough equal coordinates share
 a list that is among the shortest lists of both (prefix), so the longer lists are skipped; collisions over
 all coordinates are then counted for the sets that met, and pairs over the match threshold are confirmed on
 the whole sets.
 
-No list is expanded into all its pairs. First each list's members meet one hub of the list; linked sets are
+No list is expanded into all its pairs. First each list's members meet a few hubs of the list; linked sets are
 joined into components. Only sets that share a list and are in different components meet after that: within
 a component no further link changes the result. Where that would still be many, more hubs go first.
 
-The prefix argument is exact for the signature; a pair at a similarity of just 0.8 has fewer than 36 of 64
-equal coordinates, and is missed, with a chance of about one in a million.
+A coordinate is the least values of two hash functions, so unrelated documents seldom share a list. The prefix
+argument is exact for the signature; a pair at a similarity of just 0.8 has fewer than 16 of 64 equal
+coordinates, and is missed, with a chance of about one in a million.
 
 Defined results: white space separates words and A-Z is lowered; a text with fewer words than a shingle is one
 shingle; a text without words has an empty set and links with nothing; null ids sort last; of equal ids the
@@ -29,7 +30,8 @@ from concord.llm.common import components, located, text_of, written
 from concord.llm.words import WordHash, mix, windows
 
 COORDINATES = 64
-MATCHES = 36  # a pair at a similarity of 0.8 has fewer with a chance of about one in a million
+HUBS = 4  # of a list in a round
+MATCHES = 16  # a pair at a similarity of 0.8 has fewer with a chance of about one in a million
 
 
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
@@ -40,12 +42,16 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def signature(found: np.ndarray, factors: np.ndarray, terms: np.ndarray) -> np.ndarray:
-    """The least value of each of the hash functions over a set, in pieces of bounded size."""
+    """For each hash function its least value over a set joined with the next function's, the last with the first's.
+
+    Two sets have an equal coordinate with the chance of their similarity squared, so sets that have only common
+    shingles together rarely do. The set is taken in pieces of bounded size.
+    """
     out = np.full(len(factors), 0xFFFFFFFF, np.uint64)
     for at in range(0, len(found), 4096):
         part = found[at:at + 4096]
         np.minimum(out, ((part[None, :] * factors[:, None] + terms[:, None]) >> np.uint64(32)).min(axis=1), out=out)
-    return out.astype(np.uint32).view(np.int32)
+    return mix((out << np.uint64(32) | np.roll(out, -1)) + np.arange(len(out), dtype=np.uint64)).view(np.int64)
 
 
 def functions_of(m: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,17 +73,17 @@ def signed(docs: DataFrame, shingle_words: int, m: int = COORDINATES) -> DataFra
                 found = shingles(hasher.of(text.as_buffer().to_pybytes()), shingle_words)
                 counts.append(len(found))
                 ids.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                signatures.append(signature(found, factors, terms) if len(found) else np.zeros(m, np.int32))
-            flat = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(signatures) if signatures else np.zeros(0, np.int32)), m).cast(pa.list_(pa.int32()))
+                signatures.append(signature(found, factors, terms) if len(found) else np.zeros(m, np.int64))
+            flat = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(signatures) if signatures else np.zeros(0, np.int64)), m).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), flat], ["doc_id", "__file", "__row", "n_shingles", "set_id", "signature"])
 
     rows = located(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "__file", "__row", text_of().cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, __file string, __row long, n_shingles long, set_id binary, signature array<int>")
+    return rows.mapInArrow(run, "doc_id long, __file string, __row long, n_shingles long, set_id binary, signature array<long>")
 
 
 def postings(sets: DataFrame) -> DataFrame:
-    """set_id and key, of coordinate and value, for each coordinate."""
-    return sets.select("set_id", F.posexplode("signature").alias("coordinate", "value")).select("set_id", (F.shiftleft(F.col("coordinate").cast("long"), 32) + F.col("value")).alias("key"))
+    """set_id and key for each coordinate; the value has its coordinate in it."""
+    return sets.select("set_id", F.explode("signature").alias("key"))
 
 
 def prefixes(sets: DataFrame, m: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
@@ -130,7 +136,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     links = None
     for r in range(rounds):
-        hubs = listed.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(r), "set_id").alias("h"), "set_id")).alias("hub")).select("key", F.col("hub.set_id").alias("hub"))
+        least = [F.min(F.struct(F.xxhash64(F.lit(r * HUBS + i), "set_id").alias("h"), "set_id")).alias(f"hub{i}") for i in range(HUBS)]
+        hubs = listed.groupBy("key").agg(*least).select("key", F.explode(F.array_distinct(F.array(*(f"hub{i}.set_id" for i in range(HUBS))))).alias("hub"))
         met = listed.join(hubs, "key").where("set_id <> hub").select(*ordered("set_id", "hub")).distinct()
         found = written(confirmed(met), "links")
         links = found if links is None else links.unionByName(found)
@@ -173,7 +180,8 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = {
     "op7_near_duplicates": r"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-]+'), lambda w: w <> '') AS w FROM documents),
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+'), lambda w: w <> '') AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
     ELSE list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) END AS s FROM words),
