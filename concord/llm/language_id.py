@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-WIDTH = 1 << 13
+BITS = 12
+WIDTH = 1 << BITS
 LETTER = re.compile(r"[^\W\d_]")
 PIECE = 1 << 20
 
@@ -37,7 +38,7 @@ def buckets(raw: np.ndarray, n: int) -> np.ndarray:
     code = np.full(m, n, np.uint32)
     for i in range(n):
         code = (code * np.uint32(0x01000193)) ^ raw[i:m + i]
-    return ((code ^ (code >> np.uint32(15))) * np.uint32(0x85EBCA6B) >> np.uint32(32 - 13)).astype(np.int64)
+    return ((code ^ (code >> np.uint32(15))) * np.uint32(0x85EBCA6B) >> np.uint32(32 - BITS)).astype(np.int64)
 
 
 def features(text: bytes) -> np.ndarray:
@@ -101,7 +102,7 @@ class Identifier:
         return self.languages[order[0]], float(p[order[0]] / p.sum()), len(loss) > 1 and bool(loss[order[1]] - loss[order[0]] < 0.1)
 
 
-def learn(docs: DataFrame, per_language: int = 600) -> Identifier:
+def learn(docs: DataFrame, per_language: int = 400) -> Identifier:
     """Fit on the rows of docs that have a language; at most per_language of each and 200 languages."""
     row = F.expr("row_number() over (partition by __lang, __salt order by __hash)")
     sample = docs.where("lang is not null and text is not null").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("__lang"), F.xxhash64("text").alias("__hash"))
@@ -116,12 +117,12 @@ def learn(docs: DataFrame, per_language: int = 600) -> Identifier:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found]) for i in (0, 1)] + [pa.array([f[2].tobytes() for f in found], pa.binary())], ["lang", "hash", "x"])
 
-    rows = sorted(chosen.select("__lang", "__hash", "text").mapInArrow(vectors, "lang string, hash long, x binary").collect(), key=lambda r: (r.lang, r.hash))
-    languages = sorted({r.lang for r in rows})
-    if not rows:
+    rows = chosen.select("__lang", "__hash", "text").mapInArrow(vectors, "lang string, hash long, x binary").toArrow().sort_by([("lang", "ascending"), ("hash", "ascending")])
+    languages = sorted(set(rows["lang"].to_pylist()))
+    if not languages:
         return Identifier([], np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0))
-    x = np.frombuffer(b"".join(r.x for r in rows), np.float32).reshape(len(rows), WIDTH)
-    return Identifier(languages, *fit(x, np.array([languages.index(r.lang) for r in rows]), len(languages)))
+    x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float32).reshape(len(rows), WIDTH)
+    return Identifier(languages, *fit(x, np.array([languages.index(lang) for lang in rows["lang"].to_pylist()]), len(languages)))
 
 
 def identify(docs: DataFrame, model: Identifier, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
