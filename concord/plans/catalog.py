@@ -18,7 +18,7 @@ from concord.sources.checkpoints import written
 
 PHONE = "([0-9][0-9 ()-]{7,}[0-9])"
 EMAIL = "([a-zA-Z0-9._]+@[a-zA-Z0-9.]+)"
-SETTINGS = Settings(policy=tokens.Policy(brand=("the",), location=("of", "de"), low_value=("and",), force_keep=("und",)))
+SETTINGS = Settings(tokens=tokens.TokenConfig(blocking_ratio=0.02), policy=tokens.Policy(brand=("the",), location=("of", "de"), low_value=("and",), force_keep=("und",)))
 MODEL = scoring.Model(scoring.FIXED.m, scoring.FIXED.u, 1e-3)
 
 
