@@ -6,6 +6,7 @@ is the name, and places, codes and addresses are made from its numbers. Everythi
 
 from __future__ import annotations
 
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -204,20 +205,26 @@ step("cand", "SELECT a.record_id AS l, b.record_id AS r, min(a.rule) AS match_ke
 _RULES = tuple(r for i, r in enumerate(blocking.SCORING_RULES) if i != 3)
 
 
-def _without_phones(n: Normalized) -> DataFrame:
-    """Records without phones: their rule table has no like in SQL."""
+#: Whether the chain from candidates to clusters sees phones, as it is built.
+_PHONES: ContextVar[bool] = ContextVar("phones", default=False)
+
+
+def _records(n: Normalized) -> DataFrame:
+    """Records, without phones for the queries that stand beside SQL: the phones' rule table has no like there."""
+    if _PHONES.get():
+        return n.records
     none = F.lit(None).cast("array<string>")
     return n.records.withColumns({c: none for c in ("phone_last10_list", "phone_last10_non_reused_list", "phone_e164_list")})
 
 
 @lru_cache(maxsize=4)
-def _compared(app: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _without_phones(normalized(spark, sf_dir))
+def _compared(app: str, phones: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _records(normalized(spark, sf_dir))
     return written(scoring.compared(blocking.candidates(records), records), "compared")
 
 
 def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _compared(spark.sparkContext.applicationId, spark, sf_dir)
+    return _compared(spark.sparkContext.applicationId, _PHONES.get(), spark, sf_dir)
 
 
 query("candidate_pairs", lambda s, d: compared(s, d).select("record_id_l", "record_id_r", "match_key"), "SELECT l AS record_id_l, r AS record_id_r, match_key FROM cand")
@@ -242,21 +249,21 @@ step("score", "SELECT *, 1 / (1 + pow(2.0, -(w + adj))) AS p FROM score0 WHERE 1
 
 
 @lru_cache(maxsize=4)
-def _scored(app: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scored(app: str, phones: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(scoring.scored(compared(spark, sf_dir), MODEL, scoring.frequencies(normalized(spark, sf_dir).records)).where("match_probability >= 0.01"), "scored")
 
 
 def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark.sparkContext.applicationId, spark, sf_dir)
+    return _scored(spark.sparkContext.applicationId, _PHONES.get(), spark, sf_dir)
 
 
 @lru_cache(maxsize=4)
-def _featured(app: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written(gate.features(scored_pairs(spark, sf_dir), _without_phones(normalized(spark, sf_dir))), "features")
+def _featured(app: str, phones: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(gate.features(scored_pairs(spark, sf_dir), _records(normalized(spark, sf_dir))), "features")
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _featured(spark.sparkContext.applicationId, spark, sf_dir)
+    return _featured(spark.sparkContext.applicationId, _PHONES.get(), spark, sf_dir)
 
 
 query("fs_score_fixed", lambda s, d: scoring.scored(compared(s, d), MODEL).select("record_id_l", "record_id_r", F.round("match_weight", 6).alias("weight")), "SELECT l AS record_id_l, r AS record_id_r, round(w, 6) AS weight FROM score0")
@@ -266,7 +273,7 @@ query("score_bands", lambda s, d: scored_pairs(s, d).groupBy(scoring.band(F.col(
 _NAME = "CASE WHEN sig_exact THEN 'signature' WHEN j >= 0.85 THEN 'jac85' WHEN j >= 0.65 THEN 'jac65' WHEN j >= 0.45 THEN 'jac45' WHEN j > 0 THEN 'shared' WHEN j = 0 THEN 'none' ELSE 'no_name' END"
 _ACOS = "6371000 * acos(least(1, greatest(-1, sin(radians(clat)) * sin(radians(blat)) + cos(radians(clat)) * cos(radians(blat)) * cos(radians(clng - blng)))))"
 step("aud", f"SELECT *, {_CASE(scoring.BANDS)} AS band, {_NAME} AS name_level, {_ACOS} AS dist_m, coalesce(sig_exact, false) OR coalesce(j >= 0.45, false) OR email_ov OR domain_ok AS gate FROM score")
-_audit = lambda s, d: scoring.audit(scored_pairs(s, d), _without_phones(normalized(s, d)))
+_audit = lambda s, d: scoring.audit(scored_pairs(s, d), _records(normalized(s, d)))
 query("audit_crosstab", lambda s, d: scoring.crosstab(_audit(s, d), "name_level"), "SELECT band, name_level, count(*) AS c FROM aud GROUP BY ALL")
 query("audit_distance", lambda s, d: scoring.crosstab(_audit(s, d), "dist_bucket"), "SELECT band, CASE WHEN dist_m <= 25 THEN 'le25m' WHEN dist_m <= 75 THEN 'le75m' WHEN dist_m <= 200 THEN 'le200m' WHEN dist_m <= 500 THEN 'le500m' WHEN dist_m IS NULL THEN 'missing' ELSE 'gt500m' END AS dist_bucket, count(*) AS c FROM aud GROUP BY ALL")
 query("safety_metrics", lambda s, d: scoring.safety(_audit(s, d)).select("ge_099", "ge_095", "ge_095_gated", F.round("loc_only_max_score", 6).alias("loc_only_max"), "loc_only_ge_050", "loc_only_ge_090", "sig_exact_pairs", F.round("sig_exact_p05_score", 6).alias("sig_p05"), F.round("pct_ge_095_with_identity", 6).alias("pct")),
@@ -285,13 +292,13 @@ step("root", "SELECT a AS record_id, min(b) AS root FROM reach GROUP BY a")
 
 
 @lru_cache(maxsize=8)
-def _cluster(app: str, spark: SparkSession, sf_dir: str, version: str) -> clusters.Clustering:
+def _cluster(app: str, phones: bool, spark: SparkSession, sf_dir: str, version: str) -> clusters.Clustering:
     n = normalized(spark, sf_dir)
-    return clusters.cluster(gate.gated(featured(spark, sf_dir)), _without_phones(n), n.stats, clusters.VERSIONS[version])
+    return clusters.cluster(gate.gated(featured(spark, sf_dir)), _records(n), n.stats, clusters.VERSIONS[version])
 
 
 def cluster_of(spark: SparkSession, sf_dir: str, version: str = "v2_3") -> clusters.Clustering:
-    return _cluster(spark.sparkContext.applicationId, spark, sf_dir, version)
+    return _cluster(spark.sparkContext.applicationId, _PHONES.get(), spark, sf_dir, version)
 
 
 query("auto_edges", lambda s, d: clusters.auto_edges(gate.gated(featured(s, d)), clusters.V2_3).select("record_id_l", "record_id_r", "gate_reason"), "SELECT l AS record_id_l, r AS record_id_r, reason AS gate_reason FROM edge")
@@ -324,7 +331,7 @@ query("entity_mappings", lambda s, d: export.entity_mappings(export.with_entity_
 query("entity_info", lambda s, d: export.entity_info(export.with_entity_ids(cluster_of(s, d, "v2_2").members, normalized(s, d).records, "XX"), normalized(s, d).records, {"star_rating": "star_rating_norm", "city_name": "city_name", "lat": "lat_norm", "hotel_chain": "hotel_chain_norm"}),
       "SELECT entity_id, arg_min(star, (o, record_id)) FILTER (star IS NOT NULL) AS star_rating, arg_min(city, (o, record_id)) AS city_name, arg_min(lat, (o, record_id)) FILTER (lat IS NOT NULL) AS lat, arg_min(chain, (o, record_id)) FILTER (chain IS NOT NULL) AS hotel_chain FROM (SELECT y.*, coalesce(cluster_id, 'XX_GH6-' || upper(substr(md5(y.provider || '::' || string_split(y.record_id, '::')[2]), 1, 16))) AS entity_id, CASE WHEN coalesce(y.record_id = representative_record_id, true) THEN 0 ELSE 1 END AS o FROM ready y LEFT JOIN root USING (record_id) LEFT JOIN cc USING (root)) GROUP BY entity_id")
 query("entity_summaries", lambda s, d: export.entity_summaries(export.with_entity_ids(cluster_of(s, d, "v2_2").members, normalized(s, d).records, "XX"), normalized(s, d).records).drop("members", "property_name"))
-query("review_pairs", lambda s, d: review.review_pairs(gate.gated(featured(s, d)), cluster_of(s, d, "v2_2").edges, _without_phones(normalized(s, d))).select("review_id", "review_reason", "review_bucket", "priority"),
+query("review_pairs", lambda s, d: review.review_pairs(gate.gated(featured(s, d)), cluster_of(s, d, "v2_2").edges, _records(normalized(s, d))).select("review_id", "review_reason", "review_bucket", "priority"),
       "SELECT 'RQE_' || substr(md5(l || '|' || r || '|' || reason), 1, 16) AS review_id, why AS review_reason, CASE WHEN why IN ('contact_or_email_true_like_but_failed_coherence', 'exact_email_strong_name', 'signature_review_pair') THEN 'high_confidence_likely_true' ELSE 'medium_name_plus_geo' END AS review_bucket, (6 + CASE WHEN reason = 'exact_email' AND (coalesce(j, 0) >= 0.6 OR dist_m <= 500) THEN 40 ELSE 0 END + CASE WHEN reason = 'signature' THEN 30 WHEN reason = 'medium_name_plus_geo' THEN 10 ELSE 0 END + CASE WHEN why LIKE 'contact_or%' THEN 140 ELSE 0 END)::INT AS priority FROM (SELECT *, CASE WHEN reason = 'exact_email' AND dist_m <= 500 THEN 'contact_or_email_true_like_but_failed_coherence' WHEN reason = 'exact_email' AND j >= 0.6 THEN 'exact_email_strong_name' WHEN reason = 'signature' THEN 'signature_review_pair' WHEN reason = 'medium_name_plus_geo' THEN reason ELSE 'needs_more_info' END AS why FROM gated WHERE (l, r) NOT IN (SELECT (l, r) FROM edge) AND ((reason IN ('signature', 'exact_email', 'non_reused_domain') AND p >= 0.90 AND p < 0.99) OR reason = 'medium_name_plus_geo'))")
 query("review_clusters", lambda s, d: review.review_clusters(cluster_of(s, d, "v2_1").clusters, cluster_of(s, d, "v2_1").members, cluster_of(s, d, "v2_1").edges, normalized(s, d).records).select("review_id", "review_reason", "review_bucket", "priority", "suggested_action", "providers"))
 query("review_buckets", lambda s, d: review.bucket_counts(review.queue(*queued(s, d))))
@@ -342,3 +349,29 @@ query("nearest_clusters", lambda s, d: explore.nearest_clusters(normalized(s, d)
       "SELECT cluster_id, round(2 * 6371000 * asin(sqrt(pow(sin(radians(m.lat - q.lat) / 2), 2) + cos(radians(q.lat)) * cos(radians(m.lat)) * pow(sin(radians(m.lng - q.lng) / 2), 2)))) AS dist_m FROM mid m, (SELECT lat, lng FROM ready WHERE record_id = 'src1::1::0') q WHERE m.lat IS NOT NULL ORDER BY dist_m, cluster_size DESC, cluster_id LIMIT 8")
 STEPS.clear()
 query("latest_decision", lambda s, d: explore.latest_decisions(table(s, d, "events").select(F.col("user_id").alias("review_id"), F.struct("ts", "event_id").alias("seq"), F.col("event_type").alias("decision"))).select("review_id", "decision"), "SELECT user_id AS review_id, arg_max(event_type, (ts, event_id)) AS decision FROM events GROUP BY user_id")
+
+
+def _with_phones(run):
+    def whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+        token = _PHONES.set(True)
+        try:
+            return run(spark, sf_dir)
+        finally:
+            _PHONES.reset(token)
+
+    return whole
+
+
+# With phones: what has no SQL, under its own name, and what stands beside SQL without them, once more as NAME_phones.
+for _name in ("entity_summaries", "review_clusters", "review_buckets", "review_bucket_topn", "conflict_splits", "sig_city_adoption", "cluster_diagnostics", "version_delta", "em_trained_scores"):
+    QUERIES[_name] = _with_phones(QUERIES[_name])
+for _name in (
+    "candidate_pairs", "fs_score_fixed", "fs_score_tf", "score_bands", "audit_crosstab", "audit_distance", "safety_metrics", "gate_reasons", "threshold_policy", "provider_pair_top", "auto_edges", "connected_components",
+    "cluster_core", "edge_diagnostics", "pairwise_jaccard", "provider_duplicates", "signature_dominance", "cluster_status", "reason_histogram", "cluster_members", "size_histogram", "cluster_summary", "city_stats", "cluster_search",
+    "unmapped", "entity_mappings", "entity_info", "review_pairs", "band_samples", "nearest_clusters",
+):
+    QUERIES[f"{_name}_phones"] = _with_phones(QUERIES[_name])
+QUERIES["gamma_levels_phones"] = _with_phones(lambda s, d: compared(s, d).select("record_id_l", "record_id_r", *scoring.LEVELS))
+QUERIES["band_profile_phones"] = _with_phones(lambda s, d: gate.band_profile(featured(s, d)))
+QUERIES["quality_rates_phones"] = lambda s, d: quality.headline(normalized(s, d).records)
+QUERIES["provider_quality_phones"] = lambda s, d: quality.provider_quality(normalized(s, d).records)

@@ -36,3 +36,18 @@ def test_query(spark, duck, name):
 def test_every_sql_binds(duck):
     for name, sql in catalog.ORACLE.items():
         duck.sql(f"explain {sql}"), name
+
+
+def test_chain_with_phones(spark, tmp_path):
+    texts = ["alpha beta 9876543210", "gamma delta 9876543210", "epsilon zeta 9123456780", "eta theta", "iota kappa 9123456780"]
+    texts += [f"many{i} words{i} 9000000001" for i in range(6)]  # a number of five records or more is no key
+    rows = [(i, t, "en", f"src{i}", 100 + 700 * i) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    pairs = lambda name: {(r.record_id_l, r.record_id_r) for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()}
+    want = {("src0::0::0", "src1::1::0"), ("src2::2::0", "src4::4::0")}
+    assert not want & pairs("candidate_pairs")
+    assert pairs("candidate_pairs_phones") == pairs("candidate_pairs") | want
+    levels = {(r.record_id_l, r.record_id_r): r.gamma_phone for r in catalog.QUERIES["gamma_levels_phones"](spark, str(tmp_path)).collect()}
+    assert {p for p, level in levels.items() if level == 1} >= want
+    assert "phone_present_rate" in catalog.QUERIES["quality_rates_phones"](spark, str(tmp_path)).columns
+    assert not {n for n in catalog.ORACLE if n.endswith("_phones")}
