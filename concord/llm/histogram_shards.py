@@ -134,9 +134,10 @@ def histogram_shards(docs: DataFrame, shards: int = 40, tolerance: float = 0.000
 
 def write_shards(docs: DataFrame, path: str, shards: int = 40, **how) -> None:
     """docs, with shard and slot, as one folder for each shard."""
+    docs = located(docs)  # once: the places of both sides of the join
     placed = histogram_shards(docs, shards, **how).select("key", F.col("shard"), F.col("slot"))
     place = F.concat(F.lpad(F.hex(F.xxhash64(text_of())), 16, "0"), F.lpad(F.hex(F.xxhash64("doc_id", "__file", "__row")), 16, "0"))
-    located(docs).withColumn("__key", place).join(placed.withColumnRenamed("key", "__key"), "__key").drop("__key", "__file", "__row").write.partitionBy("shard").parquet(path)
+    docs.withColumn("__key", place).join(placed.withColumnRenamed("key", "__key"), "__key").drop("__key", "__file", "__row").write.partitionBy("shard").parquet(path)
 
 
 def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,22 +22,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return identified(docs, learn(docs.where(~held_for_test())))
 
 
-def without(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of docs that are not among those decided against."""
-    gone = decided.where("not kept").select(F.col("__file").alias("__gone_file"), F.col("__row").alias("__gone_row"))
+def without(docs: DataFrame, decide) -> DataFrame:
+    """The rows of docs that are not among those decided against; both sides see the same places."""
     places = located(docs)
+    gone = decide(places).where("not kept").select(F.col("__file").alias("__gone_file"), F.col("__row").alias("__gone_row"))
     same = (places["__file"] == gone["__gone_file"]) & (places["__row"] == gone["__gone_row"])
     return places.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id stays."""
-    return without(docs, exact_dedup(docs))
+    return without(docs, exact_dedup)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: five words, a similarity of 0.8."""
-    return without(docs, near_duplicates(docs, shingle_words=5, percent=80))
+    return without(docs, lambda places: near_duplicates(places, shingle_words=5, percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

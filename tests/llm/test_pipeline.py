@@ -3,6 +3,7 @@ import random
 import pytest
 
 import corpus_pipeline as pipeline
+from concord.llm.histogram_shards import write_shards
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -48,3 +49,15 @@ def test_empty(spark, folder):
     docs.where("false").write.parquet(f"{path}/none/documents.parquet")
     spark.read.parquet(f"{path}/benchmark.parquet").where("false").write.parquet(f"{path}/none/benchmark.parquet")
     assert pipeline.run(spark, f"{path}/none").collect() == []
+
+
+def test_stages_of_a_created_frame(spark, folder, tmp_path):
+    path, _ = folder
+    words = [f"word{i}" for i in range(80)]
+    rows = [(1, " ".join(words)), (2, " ".join(words)), (3, " ".join([*words[:-1], "other"])), (4, "quite another text")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], COLUMNS)
+    ids = lambda df: sorted(r.doc_id for r in df.collect())
+    assert ids(pipeline.exact(spark, docs, path)) == [1, 3, 4]
+    assert ids(pipeline.near(spark, docs, path)) == [1, 4]
+    write_shards(docs, f"{tmp_path}/shards", shards=2)
+    assert ids(spark.read.parquet(f"{tmp_path}/shards")) == [1, 2, 3, 4]
