@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +19,11 @@ WHITE = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where unset (tests), a local one of this process."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    """The folder of ``spark.checkpoint.dir``. Where it is unset, a local one of this process, on a local master only."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (found or _own_dir()).rstrip("/")
 
 
 @lru_cache(maxsize=1)
@@ -39,17 +43,52 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Scratch:
+    """Tables that one call writes to the shared folder and removes when no later step reads them."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path, self.names = spark, fresh(spark, label), {}
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        self.names[name] = path = f"{self.path}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            delete(self.spark, self.names.pop(name))
+
+
+PLACE = {"place": True}  # metadata of the columns that ``located`` adds
+
+
+def set_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its own columns of the names that ``located`` uses renamed, and {new name: own name}."""
+    own = [c for c in docs.columns if c in ("__file", "__row") and not docs.schema[c].metadata.get("place")]
+    names = {f"__own{c}": c for c in own}
+    return docs.withColumnsRenamed({c: n for n, c in names.items()}) if own else docs, names
+
+
 def located(docs: DataFrame) -> DataFrame:
     """docs with ``__file`` and ``__row``, which tell equal rows apart and stay the same when a task runs again.
 
     Rows that come straight from files have a place there; others are written to the shared folder first.
+    Columns of docs that have these names are renamed (``set_aside``).
     """
+    docs, _ = set_aside(docs)
     if {"__file", "__row"} <= set(docs.columns):
         return docs
+    place = [F.col(f"_metadata.{c}").alias(n, metadata=PLACE) for c, n in (("file_path", "__file"), ("row_index", "__row"))]
     try:
-        return docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    except Exception as e:  # the frame isn't a plain scan of files
-        if "_metadata" not in str(e) and "row_index" not in str(e):
+        return docs.select("*", *place)
+    except AnalysisException as e:  # the frame isn't a plain scan of files
+        if "UNRESOLVED" not in (e.getCondition() or ""):
             raise
         return located(written(docs, "located"))
 
@@ -80,17 +119,22 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             out = out.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         return out.where("u <> v").distinct()
 
-    now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), label)
-    mark = None
+    scratch = Scratch(edges.sparkSession, label)
+    first = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
+    at, now = "0", scratch.written(first, "0")
+    mark, step = None, 0
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = toward_min(both, larger_only=True)
         # small star: each u with its smaller neighbours
         small = toward_min(large, larger_only=False)
-        now = written(small, label)
+        step += 1
+        now, before, at = scratch.written(small, str(step)), at, str(step)
+        scratch.drop(before)
         # done when nothing changes: one aggregate of one row tells, so no other pass over the links is needed
         found = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if found == mark or not found[0]:
             break
         mark = found
-    return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+    roots = now.select(F.col("v").alias("id")).distinct().withColumn("root", F.col("id"))
+    return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)

@@ -43,7 +43,7 @@ def families(rng):
 @pytest.mark.parametrize(("n", "seed"), [(2, 1), (5, 2)])
 def test_near_duplicates(frame, n, seed):
     rows = families(random.Random(seed))
-    got = {r.doc_id: r for r in near.near_duplicates(frame(rows), n, rounds=1).collect()}
+    got = {r.doc_id: r for r in near.near_duplicates(frame(rows), n).collect()}
     assert [(got[d].n_shingles, got[d].component_id) for d, _ in rows] == brute(rows, n)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
