@@ -4,10 +4,11 @@ A digest log (one small row per document: SHA-256 of the normalised text,
 the stable id, and the place of the content: file and row) feeds a Structured
 Streaming aggregation whose keyed state lives on disk (RocksDB) and never
 expires. Per digest the state retains the smallest id, that row's place and
-the number of rows. New files add to the same state; nothing is read twice.
-Where a digest is hit again, the full bytes of the rows are checked against
-the content at the retained place; rows that share a digest but not the bytes
-are grouped anew by their bytes.
+the number of rows. New files add to the same state. The full bytes of the
+rows that share a digest are checked against each other and, where an earlier
+ingest has the digest, against the content at the place retained from it;
+rows that share a digest but not the bytes are grouped anew by their bytes,
+those of earlier ingests too, whose files must still be there (Parquet).
 
 Only DataFrame operations: text goes through the executors' JVM alone.
 
@@ -30,6 +31,11 @@ STORE = {
 }
 
 
+def keep() -> Column:
+    """What the state retains of a row; the least of a group stays."""
+    return F.struct("no_id", "doc_id", "__file", "__row")
+
+
 def normalised(text: Column) -> Column:
     """White space runs become one space; nothing else changes."""
     return F.regexp_replace(text, WHITE, " ")
@@ -40,69 +46,98 @@ def sha(text: Column) -> Column:
 
 
 class DedupState:
-    """The digest log and keyed state below one path; ``ingest`` adds documents, ``groups`` reads the state."""
+    """The digest log and keyed state below one path; ``ingest`` adds documents, ``groups`` reads the state.
+
+    The log has one folder for each ingest. ``key`` makes the state's key of a digest (a test can give a weak one).
+    """
+
+    LOG = "no_id boolean, doc_id {}, __file string, __row long, sha string, batch int"
 
     def __init__(self, spark: SparkSession, path: str | None = None, key=None, max_bytes_per_trigger: int = 1 << 36):
         self.spark, self.path, self.bytes = spark, path or fresh(spark, "dedup"), max_bytes_per_trigger
-        self.key = key or (lambda digest: digest)  # a test can give a weak key
-
-    def ingest(self, docs: DataFrame) -> DataFrame:
-        """Log the digests of docs and run the stream until it has seen all of the log; the log's rows."""
-        digest = sha(normalised(text_of()))
-        rows = located(docs).select("doc_id", "__file", "__row", digest.alias("sha")).withColumn("key", self.key(F.col("sha")))
-        rows.write.mode("append").parquet(f"{self.path}/log")
-        log = self.spark.read.schema(rows.schema).parquet(f"{self.path}/log")
+        self.key = key or (lambda digest: digest)
+
+    def _schema(self, doc_id: str) -> str:
+        return self.LOG.format(doc_id)
+
+    def ingests(self, of: str = "log") -> int:
+        """How many ingests have left a table."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{of}")
+        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sum(s.getPath().getName().startswith("batch=") for s in fs.listStatus(at)) if fs.exists(at) else 0
+
+    def ingest(self, docs: DataFrame) -> int:
+        """Log the digests of docs and run the stream until it has seen all of the log; the ingest's number, from 0."""
+        batch, self.id_type = self.ingests(), docs.schema["doc_id"].dataType.simpleString()
+        rows = located(docs).select(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__file", "__row", sha(normalised(text_of())).alias("sha"))
+        rows.write.parquet(f"{self.path}/log/batch={batch}")
         conf = self.spark.conf
         before = {name: conf.get(name, None) for name in STORE}
         for name, value in STORE.items():
             conf.set(name, value)
         try:
+            stream = self.spark.readStream.schema(self._schema(self.id_type)).option("maxBytesPerTrigger", self.bytes).parquet(f"{self.path}/log")
             (
-                self.spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", self.bytes).parquet(f"{self.path}/log")
-                .groupBy("key")
-                .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__file", "__row")).alias("keep"), F.count("*").alias("n"))
+                stream.groupBy(self.key(F.col("sha")).alias("key")).agg(F.min(keep()).alias("keep"), F.count("*").alias("n"))
                 .writeStream.outputMode("update").format("noop").option("checkpointLocation", f"{self.path}/state").trigger(availableNow=True)
                 .start().awaitTermination()
             )
         finally:
             for name, value in before.items():
                 conf.set(name, value) if value is not None else conf.unset(name)
-        return log
+        return batch
+
+    def log(self) -> DataFrame:
+        """The rows of all ingests, with their key."""
+        return self.spark.read.schema(self._schema(self.id_type)).parquet(f"{self.path}/log").withColumn("key", self.key(F.col("sha")))
 
     def groups(self) -> DataFrame:
         """key, keep (no_id, doc_id, __file, __row), n: the whole state."""
         state = self.spark.read.format("statestore").load(f"{self.path}/state")
-        first, second = state.schema["value"].dataType.names
-        return state.select(F.col("key.key").alias("key"), F.col(f"value.{first}").alias("keep"), F.col(f"value.{second}").alias("n"))
+        (key,), (first, second) = (state.schema[c].dataType.names for c in ("key", "value"))
+        return state.select(F.col(f"key.{key}").alias("key"), F.col(f"value.{first}").alias("keep"), F.col(f"value.{second}").alias("n"))
+
+    def content(self, places: DataFrame) -> DataFrame:
+        """places (__file, __row and others), with norm: the normalised text of the row there, read from its file."""
+        files = [r[0] for r in places.select("__file").distinct().collect()]  # as many as files were read, at most
+        if not files:
+            return places.withColumn("norm", F.lit(""))
+        texts = located(self.spark.read.schema("text string").parquet(*files)).select("__file", "__row", normalised(text_of()).alias("norm"))
+        return places.join(texts, ["__file", "__row"])
+
+    def check(self, docs: DataFrame, batch: int) -> DataFrame:
+        """Keys that stand for several texts, of all ingests; those that the present one brings are found by all its bytes.
+
+        The rows of one key are equal in each earlier ingest, or their key is noted; so of the earlier rows, the content at the
+        place that was retained then is enough to hold the new rows against. Equal texts meet before they are exchanged.
+        """
+        texts = located(docs).select(normalised(text_of()).alias("norm")).select(self.key(sha(F.col("norm"))).alias("key"), "norm")
+        if batch:
+            log = self.log()
+            hit = log.where(F.col("batch") == batch).select("key").distinct()
+            retained = log.where(F.col("batch") < batch).join(hit, "key", "left_semi").groupBy("key").agg(F.min(keep()).alias("keep"))
+            texts = texts.unionByName(self.content(retained.select("key", "keep.__file", "keep.__row")).select("key", "norm"))
+        several = texts.distinct().groupBy("key").agg(F.count("*").alias("texts")).where("texts > 1").select("key")
+        several.write.parquet(f"{self.path}/unequal/batch={batch}")
+        return self.spark.read.schema("key string, batch int").parquet(f"{self.path}/unequal").select("key").distinct()
 
 
 def exact_dedup(docs: DataFrame, state: DedupState | None = None) -> DataFrame:
-    """One row per row of docs: doc_id, __file, __row, keep_id, group_size, kept, text_sha256."""
-    spark = docs.sparkSession
-    state = state or DedupState(spark)
+    """doc_id, __file, __row, keep_id, group_size, kept, text_sha256: one row per row of docs and of the state's earlier ingests."""
+    state = state or DedupState(docs.sparkSession)
     docs = located(docs).select("doc_id", "text", "__file", "__row")
-    log = state.ingest(docs)
-    groups = written(state.groups(), "groups")
+    batch = state.ingest(docs)
+    groups, log = written(state.groups(), "groups"), state.log()
+    wrong = state.check(docs, batch)
     kept = F.col("keep.__file").eqNullSafe(F.col("__file")) & F.col("keep.__row").eqNullSafe(F.col("__row"))
-    result = log.join(groups, "key").select("doc_id", "__file", "__row", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"), "key")
-    wrong = written(unequal(docs, groups, state.key), "unequal")
+    answer = ["doc_id", "__file", "__row", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256")]
     if wrong.isEmpty():
-        return result.drop("key")
-    # One key, several texts: those rows are grouped by their whole bytes.
-    text = docs.select("doc_id", "__file", "__row", normalised(text_of()).alias("norm"))
-    text = text.withColumn("text_sha256", sha(F.col("norm"))).withColumn("key", state.key(F.col("text_sha256"))).join(wrong, "key", "left_semi")
-    exact = text.groupBy("norm").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__file", "__row")).alias("keep"), F.count("*").alias("n"))
-    again = text.join(exact, "norm").select("doc_id", "__file", "__row", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), "text_sha256")
-    return result.join(wrong, "key", "left_anti").drop("key").unionByName(again)
-
-
-def unequal(docs: DataFrame, groups: DataFrame, key) -> DataFrame:
-    """Keys of hit groups in which some row's bytes differ from the content at the retained place."""
-    hits = groups.where("n > 1").select("key", "keep.__file", "keep.__row")
-    text = docs.select("__file", "__row", normalised(text_of()).alias("norm"))
-    content = text.join(hits, ["__file", "__row"]).select("key", F.col("norm").alias("content"))
-    keyed = text.select(key(sha(F.col("norm"))).alias("key"), "norm")
-    return keyed.join(content, "key").where(F.col("norm") != F.col("content")).select("key").distinct()
+        return log.join(groups, "key").select(*answer)
+    # one key, several texts: those rows, of all ingests, are grouped by their whole bytes
+    text = state.content(log.join(wrong, "key", "left_semi"))
+    exact = text.groupBy("norm").agg(F.min(keep()).alias("keep"), F.count("*").alias("n"))
+    again = text.join(exact, "norm").select(*answer)
+    return log.join(wrong, "key", "left_anti").join(groups, "key").select(*answer).unionByName(again)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

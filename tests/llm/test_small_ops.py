@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -42,6 +43,26 @@ def test_exact_dedup_takes_more_files(spark, frame):
     assert sorted((g["keep"].doc_id, g.n) for g in (dedup.exact_dedup(frame([(2, "x  y")]), state), state.groups())[1].collect()) == [(2, 2), (6, 1)]
 
 
+def test_exact_dedup_checks_bytes_over_ingests(spark, frame):
+    """All texts have one key: each ingest must tell them apart, and give the rows of the earlier ones."""
+    state = dedup.DedupState(spark, key=lambda sha: F.substring(sha, 1, 0))
+    rows = []
+    for more in ([(5, "alpha")], [(2, "beta"), (3, "gamma")], [(1, "alpha"), (9, "beta"), (4, None)], [(7, "alpha")]):
+        rows += more
+        got = dedup.exact_dedup(frame(more), state).collect()
+        want = brute_groups([Row(doc_id=i, text=t) for i, t in rows])
+        assert sorted((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == want
+        assert sorted(r.doc_id for r in got if r.kept) == sorted({k for _, k, *_ in want})
+
+
+def test_exact_dedup_over_ingests(spark, frame):
+    """With whole digests: the smallest id may come late."""
+    state = dedup.DedupState(spark)
+    dedup.exact_dedup(frame([(5, "a  b"), (6, "c"), (8, "a b")]), state)
+    got = dedup.exact_dedup(frame([(2, "a\tb"), (7, "d")]), state).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got) == [(2, 2, 3, True), (5, 2, 3, False), (6, 6, 1, True), (7, 7, 1, True), (8, 2, 3, False)]
+
+
 def test_exact_dedup_empty(frame):
     assert dedup.exact_dedup(frame([])).collect() == []
 
@@ -76,8 +97,7 @@ def test_write_shards(spark, frame, tmp_path):
 
 def test_packing(frame, odd):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    rows = [r for r in odd.collect() if r.doc_id not in (None, 4)] + []
+    rows = [r for r in odd.collect() if r.doc_id not in (None, 4)] + [Row(doc_id=11, text="a <|endoftext|> b")]
     got = packing.cost_balanced_packing(frame([(r.doc_id, r.text) for r in rows]), chunk=20_000).collect()
     for r in rows:
         ids = np.array(tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1], "<u4")
@@ -105,11 +125,31 @@ def test_pack_law(lengths):
     assert len(fill) == sum(n // 32 for n in lengths) + -(-sum(n % 32 for n in lengths) // 32)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 31), max_size=40))
+def test_pack_takes_the_cheapest_that_has_room(lengths):
+    """A plain restatement of the rule, piece by piece."""
+    cost, room = {}, {}
+    for s in range(-(-sum(lengths) // 32)):
+        cost[s], room[s] = 0.0, 32
+    want = []
+    for n, d in sorted(((n, d) for d, n in enumerate(lengths)), key=lambda x: (-x[0], x[1])):
+        start = 0
+        while n:
+            fits = [s for s in room if room[s] >= n] or [s for s in room if room[s]]
+            s = min(fits, key=lambda s: (cost[s], s))
+            take = min(n, room[s])
+            want.append((d, start, take, s, 32 - room[s]))
+            cost[s] += take + 0.1 * take * take
+            room[s] -= take
+            start, n = start + take, n - take
+    assert packing.pack(lengths, 32, 1.0, 0.1) == want
+
+
 def test_encoder_is_the_tokenizer():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     encoder = packing.Encoder()
-    for text in ("a  b", " a", "a ", "a\n b", "a \nb", "it's  l'été\n\nx\ty", "a  b", "1 22 333.4", "<|endoftext|> x", "", " ", "ça va\r\n bien x"):
+    for text in ("a  b", " a", "a ", "a\n b", "a \nb", "it's  l'été\n\nx\ty", "a  b", "1 22 333.4", "<|endoftext|> x", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "a<|endoftext|>\n<|endoftext", "", " ", "ça va\r\n bien x"):
         assert encoder.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
