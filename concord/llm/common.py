@@ -7,7 +7,9 @@ step, and the lineage is cut without ``localCheckpoint``.
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from functools import lru_cache
 
@@ -93,6 +95,14 @@ def located(docs: DataFrame) -> DataFrame:
         return located(written(docs, "located"))
 
 
+def cached(key, make):
+    """make(), once in each Python worker: what a task needs and later tasks of the worker need again."""
+    held = sys.modules.setdefault("__concord_worker__", types.ModuleType("__concord_worker__")).__dict__.setdefault("held", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def text_of(name: str = "text") -> Column:
     """The text as a string, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -75,16 +75,11 @@ class Block:
         need = min(self.min_words, len(item))
         share = self.share if len(item) >= self.min_words else 1.0
         gain = np.concatenate([[0.0], np.cumsum(same - share + 1e-9)])
-        starts, best = [], (0, 0)
-        for i, g in enumerate(gain):  # starts: ever lower prefix sums
-            if not starts or g < gain[starts[-1]]:
-                starts.append(i)
-        j = len(same)
-        while j > best[1] - best[0]:
-            i = next((i for i in starts if gain[i] <= gain[j]), j)
-            if j - i > best[1] - best[0]:
-                best = (i, j)
-            j -= 1
+        # for each end the first begin with no higher sum, by bisection in the falling prefix minima
+        begins = np.searchsorted(-np.minimum.accumulate(gain), -gain, side="left")
+        lengths = np.arange(len(gain)) - begins
+        end = len(gain) - 1 - int(lengths[::-1].argmax())
+        best = (int(begins[end]), end)
         at = np.flatnonzero(same[best[0]:best[1]]) + best[0]
         if not len(at) or at[-1] - at[0] + 1 < need:
             return None

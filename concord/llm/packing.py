@@ -10,7 +10,7 @@ partition and the order in the file.
 
 Ids come from the vocabulary file's byte-level BPE. A single space before a word always starts a new
 pre-token, so a text is encoded word by word through a bounded cache; texts with other runs of white space
-at a word's edge are encoded whole.
+at a word's edge are encoded whole. Tokens that the vocabulary adds to its pieces are matched first.
 
 Defined results: a null or empty text has only the end id; null ids and repeated rows are packed like
 others; an empty table gives an empty result; a document longer than a sequence is cut.
@@ -19,6 +19,7 @@ others; an empty table gives an empty result; a document longer than a sequence
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 
 import numpy as np
@@ -27,9 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm.common import text_of
+from concord.llm.common import cached, text_of
+from concord.llm.words import LONG
 
 CACHE = 300_000
+#: Tokens that the vocabulary file adds to its pieces; their strings in a text stand for them.
+ADDED = {"<|endoftext|>": 50256}
 
 
 class Words(dict):
@@ -41,25 +45,33 @@ class Words(dict):
     def __missing__(self, word: str):
         alone = word and not word[0].isspace() and not word[-1].isspace()
         value = np.array(self.encode(self.prefix + word), np.uint16).tobytes() if alone else None
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = value
+        if len(word) <= LONG:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = value
         return value
 
 
 class Encoder:
-    """encode(text): the ids as uint16. The vocabulary file may be given by path."""
+    """encode(text): the ids as uint16. The vocabulary file may be given by path; added tokens are found before all else."""
 
-    def __init__(self, vocabulary: str | None = None):
+    def __init__(self, vocabulary: str | None = None, added: dict[str, int] = ADDED):
         import public_tokenizers
         import tiktoken
 
         with open(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         self.whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.first, self.later = Words(self.whole, ""), Words(self.whole, " ")
+        self.first, self.later, self.added = Words(self.whole, ""), Words(self.whole, " "), added
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split if added else None
 
     def encode(self, text: str) -> np.ndarray:
+        if not any(token in text for token in self.added):
+            return self.plain(text)
+        return np.concatenate([np.array([self.added[t]], np.uint16) if t in self.added else self.plain(t) for t in self.split(text)])
+
+    def plain(self, text: str) -> np.ndarray:
+        """The ids of a text without added tokens."""
         words = text.split(" ")
         try:
             return np.frombuffer(self.first[words[0]] + b"".join(map(self.later.__getitem__, words[1:])), np.uint16)
@@ -108,7 +120,7 @@ def cost_balanced_packing(docs: DataFrame, capacity: int = 2048, end_id: int = 1
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names), max(columns[5]) + 1
 
     def run(batches):
-        encoder, buffer, held = Encoder(vocabulary), [], 0
+        encoder, buffer, held = cached(("encoder", vocabulary), lambda: Encoder(vocabulary)), [], 0
         base = TaskContext.get().partitionId() << 36
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):

@@ -5,7 +5,7 @@ link the number of pieces that following it pops. A word of n bytes is then coun
 backing up and without building a piece. Words begin with pieces that hold the leading space; later pieces are
 those without it. A byte that no piece begins with makes the whole word one unknown piece.
 
-Words are counted once for each task through a bounded cache.
+Words are counted through a bounded cache; it and the automaton stay in a worker from task to task.
 
 Defined results: a null or empty text has no words and no tokens; null ids and repeated rows are rows like
 others; an empty table gives an empty result.
@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm.common import text_of
+from concord.llm.common import cached, text_of
+from concord.llm.words import LONG
 
 CACHE = 500_000
 SPACE = 0x20
@@ -85,9 +86,10 @@ class Counts(dict):
 
     def __missing__(self, word: bytes) -> int:
         n = self.automaton.count(b" " + word)
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = n
+        if len(word) <= LONG:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = n
         return n
 
 
@@ -103,7 +105,7 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, n_bytes, n_words, n_tokens of each row; vocabulary: the file's path."""
 
     def run(batches):
-        counts = Counts(LongestMatch(vocabulary_of(vocabulary)))
+        counts = cached(("longest match", vocabulary), lambda: Counts(LongestMatch(vocabulary_of(vocabulary))))
         for b in batches:
             sizes, words, tokens = [], [], []
             for text in b.column(1):

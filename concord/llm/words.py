@@ -7,6 +7,7 @@ import re
 import numpy as np
 
 CACHE = 400_000
+LONG = 64  # bytes; longer words are not kept, so a cache is bounded in bytes
 PUNCTUATION = re.compile(r"[\W_]+")
 
 
@@ -27,9 +28,10 @@ class WordHash(dict):
         key = plain(word) if self.plain else word
         h = self.digest(key)
         value = (h - (1 << 64) if h >> 63 else h) if key or not self.plain else 0
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = value
+        if len(word) <= LONG:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, text: bytes) -> np.ndarray:
