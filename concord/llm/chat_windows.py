@@ -1,10 +1,11 @@
 """Chat formatting by budgeted windows.
 
-The turns of a conversation, in order, are cut into windows of at most ``budget`` tokens. Prefix sums of the
-turns' tokens choose each window's span of new turns; before it stand the system turn, if the conversation
+The turns of a conversation, in order, are cut into windows of at most ``budget`` tokens: ids of a vocabulary
+file's byte-level BPE, for each turn as it is formatted. Prefix sums of the turns' tokens choose each window's span of new turns; before it stand the system turn, if the conversation
 begins with one, and as many whole turns just before the span as fit into ``history`` tokens. Repeated turns
 are context only; under the loss mask are the texts of the new assistant turns, so each is a target once. A
-turn over the budget is a window by itself, with the system turn but without history.
+turn over the budget is a window by itself, with the system turn but without history, and the window is flagged
+``over_budget``; no text is cut.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn. A control string inside a text gets a backslash
 after its first character, and one more where it has some already, so that it can be read back exactly.
@@ -27,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm.common import partitions
+from concord.llm.common import cached, partitions
+from concord.llm.packing import Encoder
 
 BUDGET, HISTORY, HOLD = 1024, 256, 2048
 START, END = "<|im_start|>", "<|im_end|>"
@@ -36,7 +38,7 @@ CONTROL = (START, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<S
 _REST = "|".join(f"(?<={re.escape(c[0])})\\\\*(?={re.escape(c[1:])})" for c in CONTROL)
 PLACE = re.compile(_REST)
 TURN = re.compile(re.escape(START) + r"(.*?)\n(.*?)" + re.escape(END) + r"\n", re.S)
-WINDOW = "conv_id long, window int, repeated int, turns int, tokens long, text string, loss array<struct<start:int,end:int>>"
+WINDOW = "conv_id long, window int, repeated int, turns int, tokens long, over_budget boolean, text string, loss array<struct<start:int,end:int>>"
 
 
 def escape(text: str) -> str:
@@ -55,9 +57,9 @@ def unescape_role(role: str) -> str:
     return unescape(role).replace("%0A", "\n").replace("%25", "%")
 
 
-def tokens_of(text: str) -> int:
-    """Tokens of a turn, about four bytes each and four for its marks."""
-    return -(-len(text.encode()) // 4) + 4
+def formatted(role: str, text: str) -> tuple[str, str]:
+    """A turn's begin, and its text, as they stand in a window; END and a line feed follow."""
+    return f"{START}{escape_role(role)}\n", escape(text)
 
 
 def spans(tokens: list[int], known: int, system: int, budget: int, history: int) -> list[tuple[int, int, int]]:
@@ -77,13 +79,13 @@ def spans(tokens: list[int], known: int, system: int, budget: int, history: int)
 class Conversation:
     """Collects a conversation's turns and gives its windows as rows."""
 
-    def __init__(self, conv_id: int | None, budget: int, history: int):
-        self.id, self.budget, self.history = conv_id, budget, history
+    def __init__(self, conv_id: int | None, budget: int, history: int, count):
+        self.id, self.budget, self.history, self.count = conv_id, budget, history, count
         self.turns: list[tuple[str, str, int]] = []
         self.system, self.known, self.windows, self.begun = [], 0, 0, False
 
     def add(self, role: str, text: str):
-        turn = (role, text, tokens_of(text))
+        turn = (role, text, self.count("".join(formatted(role, text)) + END + "\n"))
         if not self.begun and role == "system":
             self.system, self.system_new = [turn], True
             self.begun = True
@@ -111,38 +113,42 @@ class Conversation:
         shown = [(t, self.system_new) for t in self.system] + [(self.turns[i], i >= at) for i in range(first, end)]
         # the system turn comes first and counts as new in the first window alone
         for (role, body, _), new in shown:
-            head, body = f"{START}{escape_role(role)}\n", escape(body)
+            head, body = formatted(role, body)
             if new and role == "assistant":
                 loss.append({"start": length + len(head), "end": length + len(head) + len(body)})
             text += [head, body, END, "\n"]
             length += len(head) + len(body) + len(END) + 1
         repeated = at - first + (len(self.system) if not self.system_new else 0)
-        out = (self.id, self.windows, repeated, len(shown), size + sum(t[2] for t in self.turns[first:end]), "".join(text), loss)
+        tokens = size + sum(t[2] for t in self.turns[first:end])
+        out = (self.id, self.windows, repeated, len(shown), tokens, tokens > self.budget, "".join(text), loss)
         self.windows += 1
         self.system_new = False
         return out
 
 
-def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """A row for each window: conv_id, window, repeated (turns at its begin that are context), turns, tokens, text, loss (code points)."""
+def chat_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, vocabulary: str | None = None) -> DataFrame:
+    """A row for each window: conv_id, window, repeated (turns at its begin that are context), turns, tokens, over_budget, text, loss (code points).
+
+    vocabulary: the path of the vocabulary file.
+    """
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), text("role"), text("text"))
     rows = rows.repartition(partitions(conversations.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
-    names = ["conv_id", "window", "repeated", "turns", "tokens", "text", "loss"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
+    names = ["conv_id", "window", "repeated", "turns", "tokens", "over_budget", "text", "loss"]
 
     def batch(out):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     def run(batches):
-        now = None
+        now, encoder = None, cached(("plain encoder", vocabulary), lambda: Encoder(vocabulary, added={}))
         for b in batches:
             out = []
             for conv_id, role, body in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if now is None or now.id != conv_id:
                     if now is not None:
                         out += now.flush(last=True)
-                    now = Conversation(conv_id, budget, history)
+                    now = Conversation(conv_id, budget, history, lambda text: len(encoder.encode(text)))
                 out += now.add(role, body)
             if out:
                 yield batch(out)

@@ -20,6 +20,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -102,10 +103,16 @@ class Identifier:
         return self.languages[order[0]], float(p[order[0]] / p.sum()), len(loss) > 1 and bool(loss[order[1]] - loss[order[0]] < 0.1)
 
 
-def learn(docs: DataFrame, per_language: int = 400) -> Identifier:
-    """Fit on the rows of docs that have a language; at most per_language of each and 200 languages."""
+def learn(docs: DataFrame, per_language: int = 400, most_languages: int = 200) -> Identifier:
+    """Fit on the rows of docs that have a language; at most per_language of each. More than most_languages are an error.
+
+    What the driver gathers, 16 KB a row of the sample, is bounded by the two.
+    """
     row = F.expr("row_number() over (partition by __lang, __salt order by __hash)")
     sample = docs.where("lang is not null and text is not null").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("__lang"), F.xxhash64("text").alias("__hash"))
+    languages = sample.select("__lang").distinct().limit(most_languages + 1).count()
+    if languages > most_languages:
+        raise ValueError(f"over {most_languages} languages")
     # first within 64 salts of a language, then among those that are left: no task sorts a whole language
     sample = sample.withColumn("__salt", F.pmod("__hash", F.lit(64))).select("__lang", "__salt", "__hash", "text")
     few = sample.select("__lang", "__salt", "__hash").distinct().withColumn("__n", row).where(f"__n <= {per_language}").withColumn("__salt", F.lit(0)).withColumn("__n", row).where(f"__n <= {per_language}").select("__lang", "__hash")
@@ -140,14 +147,17 @@ def identify(docs: DataFrame, model: Identifier, keep: tuple[str, ...] = ("doc_i
 
 
 def identified(docs: DataFrame, model: Identifier) -> DataFrame:
-    """The rows of docs that get a language, with all their columns and no others."""
-
+    """The rows of docs that get a language, with all their columns and no others; where ``lang`` is null it is the one predicted."""
     at = docs.columns.index("text")
+    known = docs.columns.index("lang") if "lang" in docs.columns else None
 
     def run(batches):
         for b in batches:
-            yes = [model.predict(None if t.as_py() is None else t.as_buffer().to_pybytes())[0] != "und" for t in b.column(at)]
-            yield b.filter(pa.array(yes, pa.bool_()))
+            found = [model.predict(None if t.as_py() is None else t.as_buffer().to_pybytes())[0] for t in b.column(at)]
+            if known is not None:
+                said = b.column(known)
+                b = b.set_column(known, b.schema.field(known), pc.coalesce(said, pa.array(found, said.type)))
+            yield b.filter(pa.array([x != "und" for x in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from concord.llm import chat_windows as chat
+from concord.llm.packing import Encoder
 
 SCHEMA = "conv_id long, turn long, role string, text string, window string, loss string"
 WILD = st.lists(st.sampled_from([*chat.CONTROL, "<", "[", "\\", "|im_end|>", "INST]", "s>", " ok ", "é", "\n"]), max_size=12).map("".join)
@@ -32,18 +33,20 @@ def test_windows(spark, monkeypatch):
     rows = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]"), (1, None, "user", None), (1, 0, None, "x"), (1, 0, None, "x"), (None, 1, "assistant", "a<|im_end|>\n"), (2, 0, "system", "only a system turn"), (3, 0, "assistant", ""), (4, 0, "sys\ntem<s>", "%0A")]
     for conv in range(10, 16):
         rows += [(conv, 0, "system", "s" * 50)] * (conv % 2)
-        rows += [(conv, 1 + t, rng.choice(["user", "assistant"]), "w\\<s>" * rng.choice([0, 1, 5, 30, 300])) for t in range(rng.choice([1, 3, 40, 3000 if conv == 15 else 90]))]
-    made = chat.chat_windows(spark.createDataFrame([(*r, "p", "q") for r in rows], SCHEMA), budget=200, history=60)
+        rows += [(conv, 1 + t, rng.choice(["user", "assistant"]), "w\\<s>" * rng.choice([0, 1, 5, 9, 300])) for t in range(rng.choice([1, 3, 40, 3000 if conv == 15 else 90]))]
+    made = chat.chat_windows(spark.createDataFrame([(*r, "p", "q") for r in rows], SCHEMA), budget=200, history=120)
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(made).collect()}
     assert got == brute(rows)
-    windows = made.collect()
+    windows, encoder = made.collect(), Encoder(added={})
     for conv in range(10, 16):
         mine = sorted((w for w in windows if w.conv_id == conv), key=lambda w: w.window)
         assert [w.window for w in mine] == list(range(len(mine)))
         for w in mine:
-            assert w.tokens <= 200 or w.turns - w.repeated == 1
+            assert w.over_budget == (w.tokens > 200) and (not w.over_budget or w.turns - w.repeated == 1)
+            assert w.tokens == sum(len(encoder.encode(part + chat.END + "\n")) for part in w.text.split(chat.END + "\n")[:-1])
             assert w.text.startswith("<|im_start|>system\nsss") == (conv % 2 == 1)
-    assert any(w.repeated > 1 for w in windows)
+    assert any(w.repeated > 1 for w in windows), [w.repeated for w in windows]
+    assert any(w.over_budget for w in windows), max(w.tokens for w in windows)
 
 
 def test_empty(spark):

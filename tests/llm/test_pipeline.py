@@ -61,3 +61,26 @@ def test_stages_of_a_created_frame(spark, folder, tmp_path):
     assert ids(pipeline.near(spark, docs, path)) == [1, 4]
     write_shards(docs, f"{tmp_path}/shards", shards=2)
     assert ids(spark.read.parquet(f"{tmp_path}/shards")) == [1, 2, 3, 4]
+
+
+def test_odd_rows(spark, folder, tmp_path):
+    """Very long texts, ties, repeated rows, null ids, and extra columns with the operators' own names."""
+    path, _ = folder
+    rng = random.Random(4)
+    vocabulary = [f"{a}{b}" for a in ("ka", "to", "mi", "ru", "bel") for b in ("len", "no", "sar", "x", "dom")]
+    long = " ".join(rng.choice(vocabulary) for _ in range(30_000))
+    rows = [(1, long, "en"), (2, long, "en"), (2, long, "en"), (None, long, None), (3, long + " one word more", "en"), (4, "ein anderer Text", None), (4, "ein anderer Text", None), (None, None, "en"), (5, "", "en"), (6, "the text of a language", "en")]
+    extra = "__file string, __row long, kept string, key string, batch int, n long, set_id string"
+    docs = spark.createDataFrame([(*r, "s", 1, "f", 7, "k", "x", 3, 9, "z") for r in rows], f"{COLUMNS}, {extra}")
+    docs.write.parquet(f"{tmp_path}/docs")
+    ids = {"language_id": [1, 2, 2, 3, 4, 4, 6, None], "exact_dedup": [1, 3, 4, 6], "near_dedup": [1, 4, 6], "decontamination": [1, 4, 6]}
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, path)
+        docs.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        found = docs.collect()
+        assert sorted((r.doc_id for r in found), key=lambda x: (x is None, x)) == ids[name]
+        assert all((r["__file"], r["__row"], r.kept, r.key, r.batch, r.n, r.set_id) == ("f", 7, "k", "x", 3, 9, "z") for r in found)
+        assert all(r.lang == "en" for r in found)  # filled where it was null: the one language known
+    assert sum(r.length for r in pipeline.packing(spark, docs, path).collect()) > 30_000
