@@ -2,6 +2,12 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a frame, which is
 written as Parquet and read again for the next. All but the last return the columns of ``documents``.
+
+Defined results, of every stage: an empty table gives an empty table; columns besides doc_id, text and lang are
+carried along as they are, whatever their names; a null id is a row like others and is the last choice to stay;
+of rows with equal id and text one stays; texts are read whole, of any length. A null or empty text has no
+language and goes at the first stage; a stage that is given one all the same keeps it as the one empty text
+(exact dedup), links it with nothing, finds no benchmark in it and packs its end id.
 """
 
 from __future__ import annotations
@@ -9,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm.common import located, written
+from concord.llm.common import located, set_aside, written
 from concord.llm.decontamination import decontaminated
 from concord.llm.exact_dedup import exact_dedup
 from concord.llm.language_id import held_for_test, identified, learn
@@ -18,16 +24,17 @@ from concord.llm.packing import cost_balanced_packing
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null text, or no letter in it) go."""
+    """Documents without a language (null text, or no letter in it) go; where ``lang`` is null, it becomes the one identified."""
     return identified(docs, learn(docs.where(~held_for_test())))
 
 
 def without(docs: DataFrame, decide) -> DataFrame:
     """The rows of docs that are not among those decided against; both sides see the same places."""
-    places = located(docs)
+    renamed, names = set_aside(docs)
+    places = located(renamed)
     gone = decide(places).where("not kept").select(F.col("__file").alias("__gone_file"), F.col("__row").alias("__gone_row"))
     same = (places["__file"] == gone["__gone_file"]) & (places["__row"] == gone["__gone_row"])
-    return places.join(gone, same, "left_anti").select(*docs.columns)
+    return places.join(gone, same, "left_anti").select(*renamed.columns).withColumnsRenamed(names)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
