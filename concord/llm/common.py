@@ -7,6 +7,7 @@ step, and the lineage is cut without ``localCheckpoint``.
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import types
@@ -66,6 +67,11 @@ class Scratch:
         for name in names:
             delete(self.spark, self.names.pop(name))
 
+    def release(self) -> None:
+        """Let Spark clean up what finished steps have shuffled: it does when the driver's JVM collects garbage, which may be long in coming."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
 
 PLACE = {"place": True}  # metadata of the columns that ``located`` adds
 
