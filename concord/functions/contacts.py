@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Region:
-    """A numbering plan: calling code, trunk prefix, and lengths of national numbers."""
+    """A numbering plan: calling code, trunk prefix, and lengths of national numbers; without a code, only numbers with one are read."""
 
     code: str
     trunk: str
@@ -21,20 +21,34 @@ class Region:
 #: Numbering plans.
 REGIONS = {
     "IN": Region("91", "0", 10, 10), "US": Region("1", "1", 10, 10), "NZ": Region("64", "0", 8, 10), "GB": Region("44", "0", 9, 10), "DE": Region("49", "0", 6, 11),
-    "FR": Region("33", "0", 9, 9), "ES": Region("34", "", 9, 9), "NP": Region("977", "0", 8, 10), "SI": Region("386", "0", 8, 8), "SM": Region("378", "0", 6, 10),
+    "FR": Region("33", "0", 9, 9), "ES": Region("34", "", 9, 9), "NP": Region("977", "0", 8, 10), "SI": Region("386", "0", 8, 8), "SM": Region("378", "", 6, 10),
+    "AR": Region("54", "0", 10, 11), "LC": Region("1", "1", 10, 10), "LU": Region("352", "", 4, 11), "ME": Region("382", "0", 8, 9), "MK": Region("389", "0", 8, 8),
+    "UZ": Region("998", "8", 9, 9), "IT": Region("39", "", 6, 11), "PT": Region("351", "", 9, 9), "NL": Region("31", "0", 9, 9), "BE": Region("32", "0", 8, 9),
+    "AT": Region("43", "0", 4, 13), "CH": Region("41", "0", 9, 9), "AU": Region("61", "0", 9, 9), "CA": Region("1", "1", 10, 10), "JP": Region("81", "0", 9, 10),
+    "TH": Region("66", "0", 8, 9), "AE": Region("971", "0", 8, 9), "GR": Region("30", "", 10, 10), "HR": Region("385", "0", 8, 9), "TR": Region("90", "0", 10, 10),
 }
+INTERNATIONAL = Region("", "", 1, 0)
+#: What is no phone, and what parts phones in a field.
 JUNK_PHONE = r"^[0\s\-+().]*$"
 PHONE_BREAK = r"[,/;|&]+|-{2,}|\s{2,}"
 
 
+def plan_of(region: str) -> Region:
+    """The region's plan; of a region without one only international numbers are read."""
+    return REGIONS.get((region or "").upper(), INTERNATIONAL)
+
+
 def phone_numbers(raw: Column, region: str) -> tuple[Column, Column]:
     """(valid numbers as +code and national number, without repeats; count of invalid parts)."""
-    plan = REGIONS[region]
+    plan = plan_of(region)
     parts = F.filter(F.transform(F.split(F.coalesce(raw, F.lit("")), PHONE_BREAK), lambda p: F.trim(p)), lambda p: (p != "") & ~p.rlike(JUNK_PHONE))
 
     def number(p):
         digits = F.regexp_replace(p, "[^0-9]", "")
         abroad = p.rlike(r"^\s*\+|^00")
+        if not plan.code:
+            plain = F.regexp_replace(digits, "^00", "")
+            return F.when(abroad & ~p.rlike("[A-Za-z]{3,}") & F.length(plain).between(8, 15), F.concat(F.lit("+"), plain))
         plain = F.regexp_replace(digits, "^00", "")
         national = F.when(abroad & plain.startswith(plan.code), F.substr(plain, F.lit(len(plan.code) + 1)))
         national = national.when(abroad, F.lit(None)).when((F.length(digits) > plan.longest) & digits.startswith(plan.code), F.substr(digits, F.lit(len(plan.code) + 1))).otherwise(digits)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -31,8 +32,70 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else x if x.isascii() else unicodedata.normalize("NFKC", x))
 
 
-def ascii_fold(c: Column) -> Column:
-    """Latin letters without their marks; what is left over beyond ASCII stays."""
+#: Cyrillic and Greek small letters in Latin ones.
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "io", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p",
+    "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "iu", "я": "ia",
+    "ђ": "dj", "ѓ": "gj", "є": "ie", "ѕ": "dz", "і": "i", "ї": "yi", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "tsh", "ќ": "kj", "ў": "u", "џ": "dzh", "ғ": "gh", "қ": "k", "ҳ": "h", "ә": "a", "ө": "o", "ү": "u", "ң": "ng",
+}
+GREEK = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t",
+    "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+}
+#: Words of Unicode's letter names that are no part of the sound.
+NO_SOUND = frozenset("LETTER CHARACTER SMALL CAPITAL SIGN VOWEL SARA SYLLABLE DIGIT FINAL INITIAL MEDIAL ISOLATED FORM VIRAMA NUKTA MARK WITH".split())
+#: Scripts whose letters have names that begin with their sound (ARABIC LETTER FEH: f).
+NAMED = frozenset("ARABIC HEBREW GEORGIAN ARMENIAN THAI LAO SYRIAC COPTIC".split())
+
+
+def latin_of(letter: str) -> str:
+    """A letter of any script in Latin ones, small.
+
+    Cyrillic and Greek by the tables; marks go; others by the sound in Unicode's name of the letter (DEVANAGARI LETTER KA: k,
+    HANGUL SYLLABLE GA: ga), where consonants of scripts with an inherent vowel lose it. An ideograph has no sound there: it
+    becomes a word of its code (u5317), so that equal names stay equal and none is lost.
+    """
+    if letter.isascii():
+        return letter
+    low = letter.lower()
+    if low in CYRILLIC or low in GREEK:
+        return CYRILLIC.get(low, GREEK.get(low, ""))
+    plain = unicodedata.normalize("NFKD", letter)
+    if plain != letter and not unicodedata.name(letter, "").startswith("HANGUL"):
+        return "".join(map(latin_of, plain))
+    name = unicodedata.name(letter, "")
+    if not unicodedata.category(letter).startswith(("L", "N", "M")) or not name or "VIRAMA" in name or (unicodedata.combining(letter) and "VOWEL" not in name):
+        return letter if not unicodedata.category(letter).startswith("M") else ""
+    if "IDEOGRAPH" in name:
+        return f" u{ord(letter):x} "
+    if unicodedata.category(letter) == "Nd":
+        return str(unicodedata.digit(letter))
+    sound = (w for w in name.split()[1:] if w not in NO_SOUND)
+    said = next(sound, "").lower()
+    if name.split()[0] in NAMED and said:
+        return re.match("[^aeiou]+|[aeiou]", said)[0]
+    inherent = " LETTER " in name and "VIRAMA" in unicodedata.name(chr((ord(letter) & ~0x7F) + 0x4D), "")  # scripts laid out as Devanagari is
+    return said[:-1] if inherent and len(said) > 1 and said.endswith("a") and said != "aa" else said
+
+
+@F.pandas_udf(StringType())
+def romanised(s: pd.Series) -> pd.Series:
+    """Other scripts than Latin in Latin letters. Arrow UDF: a letter becomes several, by rules that Spark has no function for; ASCII and Latin texts pass as they are."""
+    known = {}
+
+    def of(x):
+        if x is None or x.isascii() or max(x) < "\u0370":
+            return x
+        for c in set(x) - known.keys():
+            known[c] = c if c < "\u0370" else latin_of(c)
+        return "".join(known[c] for c in x)
+
+    return s.map(of)
+
+
+def ascii_fold(c: Column, scripts: bool = False) -> Column:
+    """Latin letters without their marks, and other scripts in Latin letters if asked for; what is left over beyond ASCII stays."""
+    c = romanised(c) if scripts else c
     for letter, spelled in SPELLED.items():
         if len(spelled) > 1:
             c = F.replace(c, F.lit(letter), F.lit(spelled))
@@ -48,9 +111,9 @@ def clean_text(c: Column, unicode: bool = False) -> Column:
     return F.when(~c.isin(*NULL_LIKE), c)
 
 
-def name_norm(c: Column) -> Column:
+def name_norm(c: Column, scripts: bool = False) -> Column:
     """A name as words of a-z and 0-9; & is read as and; null-like names are null."""
-    c = F.replace(F.lower(ascii_fold(c.cast("string"))), F.lit("&"), F.lit(" and "))
+    c = F.replace(F.lower(ascii_fold(c.cast("string"), scripts)), F.lit("&"), F.lit(" and "))
     c = F.trim(F.regexp_replace(c, "[^0-9a-z]+", " "))
     return F.when(~c.isin(*NULL_LIKE), c)
 

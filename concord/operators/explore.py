@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,13 +39,105 @@ def search_clusters(clusters: DataFrame, members: DataFrame, records: DataFrame,
     for value, test in ((status, F.col("cluster_status") == status), (provider, F.array_contains("providers_present", provider or "")), (contact, F.col("has_contact_evidence") == F.lit(contact))):
         rows = rows.where(test) if value is not None else rows
     if search:
-        like = "%" + search.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_") + "%"
+        like = pattern_of(search)
         named = members.join(records.where(F.col("property_name_norm").ilike(like)).select("record_id"), "record_id", "left_semi").select("cluster_id").distinct().withColumn("__named", F.lit(True))
         rows = rows.join(named, "cluster_id", "left").where(F.col("cluster_id").ilike(like) | F.col("__named")).drop("__named")
     order = F.col(SORTS.get(sort, "cluster_size"))
     return rows.orderBy(order.desc_nulls_last() if descending else order.asc_nulls_last(), "cluster_id").offset((page - 1) * page_size).limit(page_size)
 
 
+def pattern_of(search: str) -> str:
+    """A LIKE pattern that finds a text anywhere, taken literally."""
+    return "%" + search.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_") + "%"
+
+
+def page_of(rows: DataFrame, page: int, size: int, most: int) -> DataFrame:
+    """A page of ordered rows, of one to ``most``."""
+    size = min(most, max(1, size))
+    return rows.offset((max(1, page) - 1) * size).limit(size)
+
+
+def overview(**sections: DataFrame) -> DataFrame:
+    """section, name, value: each frame of one row, or of (name, value), as a section of the first screen."""
+    found = []
+    for section, df in sections.items():
+        if set(df.columns) != {"name", "value"}:
+            df = df.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, df.columns)), F.array(*(F.col(c).cast("double") for c in df.columns)))).alias("name", "value"))
+        found.append(df.select(F.lit(section).alias("section"), "name", F.col("value").cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, found)
+
+
+QUEUE_SEARCH = ("review_id", "cluster_id", "representative_names", "providers", "cities")
+
+
+def queue_rows(queue: DataFrame, bucket: str = "", action: str = "", search: str = "") -> DataFrame:
+    """The items of the review queue that a front's filters leave; as many as the front's total."""
+    rows = queue.where(F.col("review_bucket") == bucket) if bucket else queue
+    rows = rows.where(F.col("suggested_action") == action) if action else rows
+    if search:
+        like = pattern_of(search)
+        rows = rows.where(reduce(lambda a, b: a | b, (F.coalesce(F.col(c).ilike(like), F.lit(False)) for c in QUEUE_SEARCH)))
+    return rows
+
+
+def queue_page(queue: DataFrame, bucket: str = "", action: str = "", search: str = "", page: int = 1, page_size: int = 50) -> DataFrame:
+    """A page of the review queue, most urgent first."""
+    rows = queue_rows(queue, bucket, action, search).orderBy(F.desc("priority"), F.desc("best_edge_probability"), "review_id")
+    return page_of(rows, page, page_size, 200).withColumns({"geo_diameter_m": F.round("geo_diameter_m", 1), "best_edge_probability": F.round("best_edge_probability", 4)})
+
+
+def queue_of_csv(spark, path: str) -> DataFrame:
+    """The queue's exported top as it was written, where the whole queue isn't at hand; the kind of an item is in its id."""
+    rows = spark.read.csv(path, header=True, inferSchema=True)
+    return rows.withColumn("review_entity_type", F.when(F.col("review_id").startswith("RQC_"), "cluster").otherwise("pair"))
+
+
+REVIEW_ID = re.compile(r"^(RQC|RQE)_[A-Fa-f0-9]+$")
+
+
+def review_members(item: DataFrame, members: DataFrame, records: DataFrame, most: int = 500) -> DataFrame:
+    """The records of one item of the queue (one row): of its cluster, or the two of its pair."""
+    item = F.broadcast(item.limit(1))
+    of_cluster = members.join(item.select("cluster_id"), "cluster_id").select("record_id")
+    if "record_id_l" in item.columns:
+        of_cluster = item.select(F.explode(F.array("record_id_l", "record_id_r")).alias("record_id"))
+    rows = of_cluster.join(records, "record_id").select("record_id", "provider", F.col("property_name_norm").alias("name"), F.col("city_name_norm").alias("city"), F.col("postal_code_final").alias("postal_code"), F.round("lat_norm", 6).alias("lat_norm"), F.round("lng_norm", 6).alias("lng_norm"))
+    return rows.orderBy("provider", "record_id").limit(most)
+
+
+def review_edges(item: DataFrame, edges: DataFrame, most: int = 500) -> DataFrame:
+    """The links of one item of the queue (one row), best first."""
+    on = ["record_id_l", "record_id_r"] if "record_id_l" in item.columns else ["cluster_id"]
+    rows = edges.join(F.broadcast(item.select(*on).limit(1)), on, "left_semi")
+    rows = rows.select("provider_l", "provider_r", F.round("match_probability", 4).alias("match_probability"), "gate_reason", F.round("name_match_jaccard", 3).alias("name_match_jaccard"), "sig_exact", F.round("dist_m", 1).alias("dist_m"), "phone_ov", "record_id_l", "record_id_r")
+    return rows.orderBy(F.desc("match_probability"), "record_id_l", "record_id_r").limit(most)
+
+
+def review_detail(review_id: str, clusters: DataFrame, pairs: DataFrame, members: DataFrame, cluster_edges: DataFrame, pair_edges: DataFrame, records: DataFrame, decisions: DataFrame | None = None) -> dict[str, DataFrame]:
+    """meta, members, edges and decision of one item; clusters and pairs are the queue's items of each kind."""
+    if not REVIEW_ID.match(review_id):
+        raise ValueError("no review id")
+    is_cluster = review_id.startswith("RQC_")
+    item = (clusters if is_cluster else pairs).where(F.col("review_id") == review_id)
+    out = {"meta": item, "members": review_members(item, members, records), "edges": review_edges(item, cluster_edges if is_cluster else pair_edges)}
+    if decisions is not None:
+        out["decision"] = latest_decisions(decisions.where(F.col("review_id") == review_id))
+    return out
+
+
+def cities(stats: DataFrame, search: str = "", page: int = 1, page_size: int = 30) -> DataFrame:
+    """A page of the cities, largest first, with the share of records that are matched."""
+    rows = stats.where(F.col("city").ilike(pattern_of(search))) if search else stats
+    rows = rows.withColumn("matched_share", F.round(F.try_divide("matched_records", "records"), 4))
+    return page_of(rows.orderBy(F.desc("records"), "city"), page, page_size, 100)
+
+
+def city_clusters(middles: DataFrame, city: str, most: int = 200) -> DataFrame:
+    """The largest clusters of a city, with their centres."""
+    rows = middles.where(F.col("city") == city).select("cluster_id", "cluster_status", "cluster_size", "provider_count", "entity_level", "rep_name", F.round("lat", 5).alias("lat"), F.round("lng", 5).alias("lng"))
+    return rows.orderBy(F.desc("cluster_size"), "cluster_id").limit(most)
+
+
 def cluster_detail(cluster_id: str, members: DataFrame, records: DataFrame) -> DataFrame:
     """The members of a cluster with their distance to its centre."""
     rows = members.where(F.col("cluster_id") == cluster_id).join(records.drop("provider"), "record_id")

@@ -45,6 +45,18 @@ def band_profile(rows: DataFrame) -> DataFrame:
     )
 
 
+def crosstab(rows: DataFrame, by: str) -> DataFrame:
+    """Gated pairs by band and gate_reason or name_level."""
+    return gated(rows).groupBy("band", by).agg(F.count("*").alias("c"))
+
+
+def headline(rows: DataFrame) -> DataFrame:
+    """One row: pairs over the floor, gated ones, those of each policy, and those that fail the gate."""
+    p, some = F.col("match_probability"), F.col("gate_reason") != "none"
+    n = lambda c, name: F.count_if(c).alias(name)
+    return rows.agg(F.count("*").alias("pairs_ge_080"), n(some, "gated_ge_080"), n(some & (p >= 0.99), "gated_ge_099"), n(some & (p >= 0.90) & (p < 0.99), "gated_review_090_099"), n(~some, "failed_gate_ge_080"))
+
+
 def provider_pairs(rows: DataFrame, top: int = 100) -> DataFrame:
     return rows.where("match_probability >= 0.9").groupBy("provider_l", "provider_r").agg(F.count("*").alias("pairs")).orderBy(F.desc("pairs"), "provider_l", "provider_r").limit(top)
 

@@ -70,3 +70,27 @@ def enforce(rates_frame: DataFrame) -> None:
     bad = [r.guardrail for r in guardrails(rates_frame).where("not passed").collect()]  # three rows at most
     if bad:
         raise GuardrailError(", ".join(bad))
+
+
+def document_rows(records: DataFrame, stats: DataFrame, rare: DataFrame, rare_city: DataFrame, policy) -> DataFrame:
+    """section, name, value of the diagnostics document: totals, records of each provider, rates, guardrails and sizes of the policy."""
+    spark = records.sparkSession
+    head = headline(records)
+    long = lambda df, section: df.select(F.lit(section).alias("section"), F.explode(F.map_from_arrays(F.array(*map(F.lit, df.columns)), F.array(*(F.col(c).cast("double") for c in df.columns)))).alias("name", "value"))
+    sizes = {"low_value_global": len(policy.low_value), "brand_tokens": len(policy.brand), "location_descriptors": len(policy.location)}
+    counted = [(rare.agg(F.count("*")), "rare_global_tokens"), (rare_city.agg(F.count_distinct("city_name_norm")), "rare_city_tokens_cities")]
+    rows = long(head, "rates").unionByName(records.groupBy("provider").agg(F.count("*").cast("double").alias("value")).select(F.lit("records_per_provider").alias("section"), F.col("provider").alias("name"), "value"))
+    rows = rows.unionByName(guardrails(head).select(F.lit("guardrails").alias("section"), F.col("guardrail").alias("name"), F.col("passed").cast("double").alias("value")))
+    rows = rows.unionByName(spark.createDataFrame([("token_policy_sizes", k, float(v)) for k, v in sizes.items()], rows.schema))
+    for frame, name in counted:
+        rows = rows.unionByName(frame.toDF("value").select(F.lit("token_policy_sizes").alias("section"), F.lit(name).alias("name"), F.col("value").cast("double")))
+    return rows.unionByName(stats.agg(F.count("*").cast("double").alias("value")).select(F.lit("tokens").alias("section"), F.lit("distinct_global_tokens").alias("name"), "value"))
+
+
+def document(rows: DataFrame, **about) -> dict:
+    """The diagnostics document: about, and the rows by section; as many as there are providers and rates."""
+    out = dict(about)
+    for r in rows.collect():
+        out.setdefault(r.section, {})[r.name] = r.value
+    out["guardrails_passed"] = all(out["guardrails"].values())
+    return out

@@ -6,8 +6,10 @@ import json
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from concord.functions.geo import acos_distance, asin_distance
 from concord.functions.text import jaccard
@@ -23,14 +25,14 @@ def prepared(records: DataFrame) -> DataFrame:
     text = lambda c: F.nullif(F.col(c), F.lit(""))
     some = lambda c: F.when(F.size(c) > 0, F.col(c))
     coarse = F.coalesce("lat_lng_low_precision", F.lit(False))
-    out = {c: text(c) for c in ("property_name_signature", "property_name_match_signature", "city_name_norm", "postal_code_final", "hotel_chain_norm", "website_domain_norm")}
+    out = {c: text(c) for c in ("property_name_core", "property_name_signature", "property_name_match_signature", "city_name_norm", "postal_code_final", "hotel_chain_norm", "website_domain_norm")}
     out |= {c: some(c) for c in ("property_name_core_tokens", "property_name_match_tokens")}
     out |= {c: F.when(~coarse, F.col(c)) for c in ("lat_norm", "lng_norm")}
     out |= {"property_type_norm": F.nullif(text("property_type_norm"), F.lit("unknown")), "primary_phone": F.get("phone_last10_non_reused_list", F.lit(0))}
     return records.withColumns(out | {c: F.coalesce(c, F.lit(False)) for c in ("website_reused_flag", "website_weak_domain_flag")})
 
 
-COMPARED = ("property_name_norm", "property_name_signature", "property_name_match_signature", "property_name_core_tokens", "property_name_match_tokens", "city_name_norm", "postal_code_final", "hotel_chain_norm", "website_domain_norm",
+COMPARED = ("property_name_norm", "property_name_core", "property_name_signature", "property_name_match_signature", "property_name_core_tokens", "property_name_match_tokens", "city_name_norm", "postal_code_final", "hotel_chain_norm", "website_domain_norm",
             "property_type_norm", "primary_phone", "website_reused_flag", "website_weak_domain_flag", "lat_norm", "lng_norm", "phone_last10_non_reused_list", "email_norm_list", "star_rating_norm")
 
 
@@ -93,15 +95,65 @@ def gammas(match_tokens: bool = True) -> dict[str, tuple[Column, int]]:
     }
 
 
+def _jaro(a: str, b: str) -> float:
+    if a == b:
+        return 1.0
+    reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    taken, common = [False] * len(b), []
+    for i, x in enumerate(a):
+        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+            if not taken[j] and b[j] == x:
+                taken[j] = True
+                common.append(x)
+                break
+    if not common:
+        return 0.0
+    n = len(common)
+    turned = sum(x != y for x, y in zip(common, (y for y, t in zip(b, taken, strict=True) if t), strict=True)) / 2
+    return (n / len(a) + n / len(b) + (n - turned) / n) / 3
+
+
+@F.pandas_udf(DoubleType())
+def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Similarity of two texts by letters in common and in order, more for a common begin. Arrow UDF: Spark has no such function; equal pairs are worked out once a batch."""
+    known = {}
+
+    def of(x, y):
+        if x is None or y is None:
+            return None
+        if (x, y) not in known:
+            j = _jaro(x, y)
+            prefix = next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+            known[x, y] = j + min(prefix, 4) * 0.1 * (1 - j) if j > 0.7 else j
+        return known[x, y]
+
+    return pd.Series([of(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+
+
+def gammas_v1() -> dict[str, tuple[Column, int]]:
+    """The comparisons of the oldest version, in which name and place are told twice: the core name by letters, and everything else by equality."""
+    core, place, d = "property_name_core", _missing("lat_norm") | _missing("lng_norm"), distance()
+    same = lambda c: (_levels(_missing(c), _l(c) == _r(c)), 2)
+    j = jaro_winkler(_l(core), _r(core))
+    return {
+        "gamma_core": (_levels(_missing(core), _l(core) == _r(core), j >= 0.92, j >= 0.85, j >= 0.75), 5), "gamma_signature": same("property_name_signature"),
+        "gamma_phone": (_levels(_missing("phone_last10_non_reused_list"), F.size(F.array_intersect(_l("phone_last10_non_reused_list"), _r("phone_last10_non_reused_list"))) >= 1), 2),
+        "gamma_distance": (_levels(place, d <= 25, d <= 75, d <= 200, d <= 500), 5), "gamma_city": same("city_name_norm"), "gamma_postal": same("postal_code_final"), "gamma_chain": same("hotel_chain_norm"), "gamma_type": same("property_type_norm"),
+    }
+
+
+LEVELS_V1 = {"gamma_core": 5, "gamma_signature": 2, "gamma_phone": 2, "gamma_distance": 5, "gamma_city": 2, "gamma_postal": 2, "gamma_chain": 2, "gamma_type": 2}
 LEVELS = {k: n for k, n in (("gamma_name", 6), ("gamma_phone", 2), ("gamma_email", 2), ("gamma_domain", 2), ("gamma_distance", 5), ("gamma_chain", 2), ("gamma_type", 2), ("gamma_star", 2))}
 
 
-def compared(pairs: DataFrame, records: DataFrame, match_tokens: bool = True) -> DataFrame:
+def compared(pairs: DataFrame, records: DataFrame, match_tokens: bool = True, v1: bool = False) -> DataFrame:
     """Pairs with their gamma levels, and the signature if it is equal (for its frequency)."""
+    made = gammas_v1() if v1 else gammas(match_tokens)
+    match_tokens = match_tokens and not v1
     rows = with_fields(pairs, prepared(records))
     sig = "property_name_match_signature" if match_tokens else "property_name_signature"
     keep = [c for c in ("record_id_l", "record_id_r", "provider_l", "provider_r", "match_key") if c in pairs.columns]
-    return rows.select(*keep, *(e.alias(k) for k, (e, _) in gammas(match_tokens).items()), F.when(_l(sig) == _r(sig), _l(sig)).alias("equal_signature"), _l("city_name_norm").eqNullSafe(_r("city_name_norm")).alias("same_city"))
+    return rows.select(*keep, *(e.alias(k) for k, (e, _) in made.items()), F.when(_l(sig) == _r(sig), _l(sig)).alias("equal_signature"), _l("city_name_norm").eqNullSafe(_r("city_name_norm")).alias("same_city"))
 
 
 @dataclass
@@ -166,14 +218,20 @@ def train_m(rows: DataFrame, u: dict[str, list[float]], trained: tuple[str, ...]
 
 
 def fit(records: DataFrame) -> Model:
-    """u from random pairs; m from pairs of equal city and signature, then the name from pairs of equal first phone."""
+    """u from random pairs; m from two sessions, pairs of equal city and signature, which can't tell of names, and pairs of equal first phone.
+
+    A level's m is the mean of the sessions that estimate its comparison.
+    """
     from concord.operators.blocking import pairs, same_city_signature
 
     u = estimate_u(records)
-    first = tuple(k for k in LEVELS if k != "gamma_name")
-    m = train_m(compared(pairs(same_city_signature(records)), records), u, first)
+    by_name = train_m(compared(pairs(same_city_signature(records)), records), u, tuple(k for k in LEVELS if k != "gamma_name"))
     phone = prepared(records).where("primary_phone is not null").select("record_id", "provider", F.col("primary_phone").alias("block_key"))
-    return Model({**m, **train_m(compared(pairs(phone), records), u, ("gamma_name",))}, u)
+    return Model(mean_of([by_name, train_m(compared(pairs(phone), records), u, tuple(LEVELS))]), u)
+
+
+def mean_of(sessions: list[dict[str, list[float]]]) -> dict[str, list[float]]:
+    return {k: np.mean([s[k] for s in sessions if k in s], axis=0).tolist() for k in LEVELS if any(k in s for s in sessions)}
 
 
 def frequencies(records: DataFrame, column: str = "property_name_match_signature") -> DataFrame:
@@ -182,16 +240,16 @@ def frequencies(records: DataFrame, column: str = "property_name_match_signature
     return some.groupBy(F.col(column).alias("equal_signature")).agg(F.count("*").alias("n")).crossJoin(F.broadcast(some.agg(F.count("*").alias("total")))).select("equal_signature", (F.col("n") / F.col("total")).alias("tf"))
 
 
-def scored(rows: DataFrame, model: Model = FIXED, tf: DataFrame | None = None) -> DataFrame:
-    """Pairs with match_weight and match_probability; with tf, an equal signature counts by how rare it is."""
+def scored(rows: DataFrame, model: Model = FIXED, tf: DataFrame | None = None, tf_on: str = "gamma_name") -> DataFrame:
+    """Pairs with match_weight and match_probability; with tf, an equal signature, the top level of tf_on, counts by how rare it is."""
     weight = F.lit(float(np.log2(model.prior / (1 - model.prior))))
-    for k in LEVELS:
+    for k in model.m:
         bayes = [float(x) for x in np.log2(np.array(model.m[k]) / np.array(model.u[k]))]
         weight = weight + F.when(F.col(k) < 0, 0.0).otherwise(F.element_at(F.array(*map(F.lit, bayes)), F.greatest(F.col(k), F.lit(0)) + 1))
     if tf is not None:
         rows = rows.join(tf, "equal_signature", "left")
-        top = LEVELS["gamma_name"] - 1
-        weight = weight + F.when((F.col("gamma_name") == top) & F.col("tf").isNotNull(), F.log2(F.lit(model.u["gamma_name"][top]) / F.col("tf"))).otherwise(0.0)
+        top = len(model.m[tf_on]) - 1
+        weight = weight + F.when((F.col(tf_on) == top) & F.col("tf").isNotNull(), F.log2(F.lit(model.u[tf_on][top]) / F.col("tf"))).otherwise(0.0)
     rows = rows.withColumn("match_weight", weight).drop("tf")
     return rows.withColumn("match_probability", 1 / (1 + F.pow(F.lit(2.0), -F.col("match_weight"))))
 

@@ -58,9 +58,10 @@ class Policy:
 
 
 def exploded(records: DataFrame, min_len: int = 2) -> DataFrame:
-    """Each token of each record once: record_id, provider, city_name_norm, cell, token."""
-    rows = records.select("record_id", "provider", "city_name_norm", "cell", F.explode(F.array_distinct("property_name_tokens")).alias("token"))
-    return rows.where(F.length("token") >= min_len).dropDuplicates(["record_id", "token"])
+    """Each token of each record once, with a hash of the record's sorted name: no later step needs the names themselves. Record ids are unique."""
+    name = F.xxhash64("property_name_sorted_tokens").alias("name_hash")
+    rows = records.select("record_id", "provider", "city_name_norm", "cell", name, F.explode(F.array_distinct("property_name_tokens")).alias("token"))
+    return rows.where(F.length("token") >= min_len)
 
 
 def _distinct(c: str) -> Column:
@@ -149,14 +150,13 @@ def blocking_tokens(records: DataFrame, stats: DataFrame, c: TokenConfig = Token
 
 
 def city_overcommon(records: DataFrame, tokens: DataFrame, stats_by_city: DataFrame, c: TokenConfig = TokenConfig()) -> DataFrame:
-    """(city_name_norm, token) that too many names of a city share."""
-    names = records.select("record_id", F.col("property_name_sorted_tokens").alias("name"))
+    """(city_name_norm, token) that too many names of a city share. Names are counted by their hashes, and only for pairs that pass all else."""
+    key = ["city_name_norm", "token"]
     size = records.where("city_name_norm is not null").groupBy("city_name_norm").agg(F.count("*").alias("records"))
-    distinct = tokens.join(names, "record_id").groupBy("city_name_norm", "token").agg(F.count_distinct("name").alias("names"))
-    common = stats_by_city.join(size, "city_name_norm").join(distinct, ["city_name_norm", "token"])
-    return common.where(
-        (F.col("city_doc_freq") >= c.city_freq) & (F.col("city_provider_coverage") >= c.city_providers) & (F.col("city_doc_freq") / F.col("records") >= c.city_ratio) & (F.col("names") >= c.city_names)
-    ).select("city_name_norm", "token")
+    often = stats_by_city.where((F.col("city_doc_freq") >= c.city_freq) & (F.col("city_provider_coverage") >= c.city_providers)).join(size, "city_name_norm")
+    often = often.where(F.col("city_doc_freq") / F.col("records") >= c.city_ratio).select(*key)
+    names = tokens.join(often, key, "left_semi").groupBy(*key).agg(F.count_distinct("name_hash").alias("names"))
+    return names.where(F.col("names") >= c.city_names).select(*key)
 
 
 def match_tokens(records: DataFrame, stats: DataFrame, overcommon: DataFrame, p: Policy, c: TokenConfig = TokenConfig()) -> DataFrame:

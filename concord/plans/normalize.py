@@ -29,6 +29,8 @@ class Settings:
     min_places: int = 3
     postal_field: str = fields.POSTAL_FIELD
     postal_address: str = fields.POSTAL_ADDRESS
+    postal_check: str = "^[1-9][0-9]{5}$"
+    blocking: dict = field(default_factory=dict)
     abbreviations: dict = field(default_factory=dict)
     tokens: TokenConfig = TokenConfig()
     policy: Policy = Policy()
@@ -40,6 +42,7 @@ class Settings:
     country_names: dict = field(default_factory=dict)
     states: dict = field(default_factory=dict)
     type_codes: dict = field(default_factory=dict)
+    type_keywords: dict = field(default_factory=dict)
     unicode: bool = False
 
     @staticmethod
@@ -58,9 +61,11 @@ class Settings:
         postal = config.get("postal") or {}
         return Settings(
             country=str(config.get("country", "")).upper(), region=config.get("default_phone_region", "IN"), box=None if None in box else box, min_places=g.get("min_decimal_places", 3), postal_field=postal.get("field_pattern", fields.POSTAL_FIELD), postal_address=postal.get("address_pattern", fields.POSTAL_ADDRESS),
+            postal_check=postal.get("validation_pattern", Settings.postal_check), blocking=config.get("blocking") or {},
             abbreviations=config.get("address_abbreviations") or {}, tokens=cfg, policy=Policy(words("brand_tokens"), words("location_descriptors"), words("force_low_value"), words("force_keep")), reuse=tuple(r.get(k, v) for k, v in (("phone_reuse_min", 5), ("email_reuse_min", 5), ("domain_reuse_min", 20))),
             generic_locals=tuple(config.get("generic_email_locals") or Settings.generic_locals), weak_domains=tuple(config.get("weak_domains") or ()), iso2_providers=tuple(p for p, x in providers.items() if (x or {}).get("country_code_field") == "country_code_iso2") or Settings.iso2_providers,
-            numeric_countries={str(k): v for k, v in (c.get("numeric_code_map") or {}).items()}, country_names=c.get("name_map") or {}, states=(config.get("state_maps") or {}).get(str(config.get("country", "")).upper()) or {}, type_codes={p: {str(k).lower(): v for k, v in x["property_type_map"].items()} for p, x in providers.items() if (x or {}).get("property_type_map")}, unicode=True,
+            numeric_countries={str(k): v for k, v in (c.get("numeric_code_map") or {}).items()}, country_names=c.get("name_map") or {}, states=(config.get("state_maps") or {}).get(str(config.get("country", "")).upper()) or {}, type_codes={p: {str(k).lower(): v for k, v in x["property_type_map"].items()} for p, x in providers.items() if (x or {}).get("property_type_map")},
+            type_keywords={k: tuple(map(str, v)) for k, v in ((config.get("property_type_maps") or {}).get("keywords") or {}).items()}, unicode=True,
         )
 
 
@@ -91,9 +96,9 @@ def base(raw: DataFrame, s: Settings = Settings()) -> DataFrame:
     ok = geo.valid(F.col("lat"), F.col("lng"))
     rows = rows.withColumns({
         "country_norm_warning": F.col("country_code_norm").isNull(), "country_off_target": F.coalesce(F.col("country_code_norm") != s.country, F.lit(False)) if s.country else F.lit(False),
-        "city_name_norm": F.col("city_clean"), "city_ascii": text.ascii_fold(F.col("city_clean")), "city_token": fields.first_word(F.col("city_clean")), "state_norm": F.coalesce(fields.lookup(F.col("state_clean"), s.states), "state_clean"),
+        "city_name_norm": F.col("city_clean"), "city_ascii": text.ascii_fold(F.col("city_clean"), s.unicode), "city_token": fields.first_word(F.col("city_clean")), "state_norm": F.coalesce(fields.lookup(F.col("state_clean"), s.states), "state_clean"),
         "lat_lng_valid": ok, "lat_lng_zero": F.coalesce((F.col("lat") == 0) & (F.col("lng") == 0), F.lit(False)), "lat_lng_out_of_range": geo.out_of_range(F.col("lat"), F.col("lng"), s.box) if s.box else F.lit(False), "lat_norm": F.when(ok, F.col("lat")), "lng_norm": F.when(ok, F.col("lng")),
-        "property_name_ascii": text.ascii_fold(F.col("property_name")), "property_name_norm": text.name_norm(F.col("property_name")), "address_norm": fields.address_norm(F.col("address_clean"), s.abbreviations), "postal_code_norm": fields.postal(F.col("postal_code_clean"), s.postal_field),
+        "property_name_ascii": text.ascii_fold(F.col("property_name"), s.unicode), "property_name_norm": text.name_norm(F.col("property_name"), s.unicode), "address_norm": fields.address_norm(F.col("address_clean"), s.abbreviations), "postal_code_norm": fields.postal(F.col("postal_code_clean"), s.postal_field),
     })
     rows = rows.withColumns({
         "geohash7": geo.geohash(F.col("lat_norm"), F.col("lng_norm")), "coord_precision_bucket": geo.precision_bucket(F.col("lat_norm"), F.col("lng_norm")), "property_name_tokens": text.name_tokens(F.col("property_name_norm"), s.tokens.min_len),
@@ -138,7 +143,7 @@ def type_features(rows: DataFrame, s: Settings = Settings()) -> DataFrame:
         kind = F.when(F.col("provider") == provider, F.coalesce(fields.lookup(F.col("property_type_clean"), codes), "property_type_clean")).otherwise(kind)
     star = fields.star_rating(F.col("star_rating"))
     return rows.withColumns({
-        "property_type_norm": fields.property_type(kind), "star_rating_norm": star, "star_rating_bucket": F.round(star).cast("byte"), "star_rating_missing": star.isNull(), "average_of_rating_norm": fields.positive(F.col("average_of_rating")), "number_of_rooms_norm": fields.positive(F.col("number_of_rooms")),
+        "property_type_norm": fields.property_type(kind, keywords=s.type_keywords or None), "star_rating_norm": star, "star_rating_bucket": F.round(star).cast("byte"), "star_rating_missing": star.isNull(), "average_of_rating_norm": fields.positive(F.col("average_of_rating")), "number_of_rooms_norm": fields.positive(F.col("number_of_rooms")),
         "total_reviews_norm": F.col("total_reviews"), "hotel_chain_norm": fields.hotel_chain(F.col("hotel_chain_clean")), "hotel_chain_token": fields.first_word(fields.hotel_chain(F.col("hotel_chain_clean"))),
     })
 

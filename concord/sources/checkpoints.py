@@ -15,9 +15,13 @@ def _own_dir() -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """df, written once below ``spark.checkpoint.dir`` (where unset, a new local folder, for tests) and read from there."""
+    """df, written once below ``spark.checkpoint.dir`` and read from there. Where that is unset, a new local folder, on a local master only."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _own_dir()
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import json
-import os
 import time
 import urllib.parse
 import urllib.request
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, InputPartition
 
+from concord.sources import files
+
 #: The columns of a feed.
 STRINGS = (
     "property_code", "property_name", "address_lines", "city_name", "city_code", "state", "country_code", "country_name", "postal_code", "property_type", "phone_numbers", "emails", "fax_numbers", "hotel_chain", "amenities", "check_in_time", "check_out_time", "thumbnail", "weburl",
@@ -38,13 +39,11 @@ def read_feed(spark: SparkSession, path: str, provider: str) -> DataFrame:
     line = F.from_json("value", schema, {"columnNameOfCorruptRecord": "__bad"}).alias("x")
     raw = spark.read.text(path).where("trim(value) <> ''").select(line).where("x is not null and x.__bad is null").select("x.*")
     rows = canonical(raw).withColumns({"__part": F.spark_partition_id(), "__id": F.monotonically_increasing_id()})
-    sizes = {r["__part"]: r["n"] for r in rows.groupBy("__part").agg(F.count("*").alias("n")).collect()}  # one row for each partition
-    starts, total = {}, 0
-    for part in sorted(sizes):
-        starts[part], total = total, total + sizes[part]
-    start = F.create_map(*[F.lit(x) for p, s in starts.items() for x in (p, s)])[F.col("__part")] if starts else F.lit(0)
-    number = (F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + start).cast("long")
-    return rows.withColumns({"provider": F.lit(provider), "source_row_number": number}).drop("__part", "__id")
+    sizes = rows.groupBy("__part").agg(F.count("*").alias("n"))  # one row for each partition
+    starts = sizes.withColumn("start", F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.join(starts.select("__part", F.coalesce("start", F.lit(0)).alias("start")), "__part")
+    number = (F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("start")).cast("long")
+    return rows.withColumns({"provider": F.lit(provider), "source_row_number": number}).drop("__part", "__id", "start")
 
 
 def read_feeds(spark: SparkSession, folder: str, providers: list[str], run_id: str = "run", version: str = "v1") -> DataFrame:
@@ -52,9 +51,7 @@ def read_feeds(spark: SparkSession, folder: str, providers: list[str], run_id: s
     found = []
     for p in providers:
         path = f"{folder}/{p}_property_info.ndjson"
-        fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(fs_path) and fs.getContentSummary(fs_path).getLength() > 0:
+        if files.exists(spark, path) and files.size(spark, path) > 0:
             found.append(read_feed(spark, path, p))
     if not found:
         raise FileNotFoundError(f"no feed of {', '.join(providers)} in {folder}")
@@ -142,11 +139,11 @@ def _cast(value, kind):
 
 
 def download(spark: SparkSession, folder: str, provider: str, **options) -> int:
-    """A provider's rows as a file of JSON lines; -1 where there is one already."""
+    """A provider's rows as a folder of JSON lines; -1 where there is a whole one already. What an earlier call left unfinished is written anew."""
     path = f"{folder}/{provider}_property_info.ndjson"
-    if os.path.exists(path):
+    if files.exists(spark, f"{path}/_SUCCESS"):
         return -1
     spark.dataSource.register(PagedFeed)
     rows = spark.read.format("paged_feed").options(providers=provider, **options).load().drop("provider")
-    rows.write.json(path)
+    rows.write.mode("overwrite").json(path)
     return spark.read.text(path).count()

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from concord.operators import blocking, clusters, explore, graph, quality, review, scoring, tokens
-from concord.plans.normalize import Settings, normalize
-from concord.sources import config, feeds, sinks
+from concord.plans.normalize import Settings, normalize, type_features
+from concord.sources import config, feeds, files, sinks
 from concord.streaming import decisions
 
 FEED = "provider string, property_code string, property_name string, city_name string, state string, country_code string, area string, lat double, lng double, source_row_number long, record_id string"
@@ -126,12 +126,19 @@ def test_feeds_and_sinks(spark, tmp_path):
         feeds.read_feeds(spark, str(tmp_path), ["b"])
     (tmp_path / "2026-01-01_IN_004").mkdir()
     from datetime import date
-    assert sinks.run_id(str(tmp_path), "IN", date(2026, 1, 1)) == "2026-01-01_IN_005"
-    path = str(tmp_path / "served")
+    folders = [sinks.run_folder(spark, f"file://{tmp_path}", "IN", date(2026, 1, 1)) for _ in range(2)]
+    assert [f.rsplit("/", 1)[1] for f in folders] == ["2026-01-01_IN_005", "2026-01-01_IN_006"]
+    path = f"file://{tmp_path}/served"
+    served = lambda: sorted(r.v for r in spark.read.schema("v string, country_code string").parquet(path).collect())
     for value in ("x", "y"):
-        sinks.replace_country(spark.createDataFrame([(value, "IN")], "v string, country_code string"), path)
-    sinks.replace_country(spark.createDataFrame([("z", "US")], "v string, country_code string"), path)
-    assert sorted(r.v for r in spark.read.parquet(path).collect()) == ["y", "z"]
+        sinks.replace_country(spark.createDataFrame([(value, "IN")], "v string, country_code string"), path, "IN")
+    sinks.replace_country(spark.createDataFrame([("z", "US")], "v string, country_code string"), path, "US")
+    assert served() == ["y", "z"]
+    sinks.replace_country(spark.createDataFrame([], "v string, country_code string"), path, "IN")
+    assert served() == ["z"]  # a country without rows keeps none
+    sinks.to_json(spark, {"a": 1}, f"{path}-x/doc.json")
+    sinks.to_yaml(spark, {"b": ["ü"]}, f"{path}-x/doc.yaml")
+    assert json.loads(files.read_text(spark, f"{path}-x/doc.json")) == {"a": 1} and files.read_text(spark, f"{path}-x/doc.yaml") == "b:\n- ü\n"
     made = config.ensure(str(tmp_path / "configs"), "fr")
     assert config.discover(str(tmp_path / "configs")) == {"FR": made} and Settings.of(config.load(str(made))).country == "FR"
 
@@ -165,3 +172,55 @@ def test_guardrails(spark):
     assert {r.guardrail: r.passed for r in quality.guardrails(rates).collect()} == {"country_missing_rate": True, "name_missing_rate": False, "core_empty_rate": False}
     with pytest.raises(quality.GuardrailError):
         quality.enforce(rates)
+
+
+def test_blocking_guardrails(spark):
+    rows = [(f"r{i}", f"p{i % 4}", "IN", "c", "g", "g", "town", "560001" if i < 8 else "5600", "sig", "msig", ["tok"], [str(i % 2)], True) for i in range(12)]
+    records = spark.createDataFrame(rows, "record_id string, provider string, country_code_norm string, cell string, geohash6_norm string, cell_wide string, city_name_norm string, postal_code_final string, property_name_signature string, property_name_match_signature string, property_name_blocking_tokens array<string>, phone_last10_non_reused_list array<string>, lat_lng_valid boolean")
+    found = blocking.diagnose(records, limits={"block_pairs_warn": 50, "rule_pairs_fail": 53, "token_dominance_warn": 0.9})
+    pairs = {k: v["summary"]["total_pairs"] for k, v in found.items()}
+    brute = lambda same: sum(same(a, b) for a, b in itertools.combinations(rows, 2) if a[1] != b[1])
+    assert pairs["same_country_cell"] == brute(lambda a, b: True) == 54 and pairs["shared_non_reused_phone"] == brute(lambda a, b: a[11] == b[11])
+    assert pairs["same_country_city_postal"] == brute(lambda a, b: a[7] == b[7] == "560001") == pairs["same_country_city_postal_nametoken"]
+    assert found["same_country_cell"]["fail"] and found["same_country_cell"]["warn"] and found["same_country_city_postal_nametoken"]["warn"] == ["token_dominance is 1.000"]
+    made = blocking.scoring_pairs(records)
+    assert made[2] == brute(lambda a, b: a[7] == b[7])  # scoring takes codes of any length
+    blocking.enforce(made)
+    with pytest.raises(blocking.BlockingError):
+        blocking.enforce(made, {"rule_pairs_fail": 53})
+
+
+def test_review_front(spark, tmp_path):
+    queue = spark.createDataFrame([(f"RQ{'CE'[i % 2]}_{i:x}", i % 3, f"b{i % 2}", f"c{i}", "x_y" if i == 4 else "xzy", "p", "t", "a", 0.5) for i in range(9)], "review_id string, priority int, review_bucket string, cluster_id string, representative_names string, providers string, cities string, suggested_action string, best_edge_probability double").withColumn("geo_diameter_m", F.lit(1.26))
+    ids = lambda rows: [r.review_id for r in rows.collect()]
+    assert ids(explore.queue_page(queue, page_size=4)) == ["RQC_2", "RQC_8", "RQE_5", "RQC_4"] and ids(explore.queue_page(queue, page_size=4, page=3)) == ["RQE_3"]
+    assert ids(explore.queue_page(queue, search="X_Y")) == ["RQC_4"]  # an underscore is taken as it is
+    assert explore.queue_rows(queue, bucket="b1").count() == 4 and explore.queue_rows(queue, action="none").count() == 0
+    sinks.to_csv(queue, f"{tmp_path}/top")
+    assert {(r.review_id, r.review_entity_type) for r in explore.queue_of_csv(spark, f"{tmp_path}/top").collect()} == {(f"RQ{'CE'[i % 2]}_{i:x}", ["cluster", "pair"][i % 2]) for i in range(9)}
+    with pytest.raises(ValueError):
+        explore.review_detail("x'; drop", queue, queue, queue, queue, queue, queue)
+
+
+def test_sessions_are_averaged():
+    a, b = {"gamma_phone": [0.5, 0.5], "gamma_star": [0.2, 0.8]}, {"gamma_phone": [0.1, 0.9], "gamma_name": [0.0, 0.1, 0.2, 0.2, 0.2, 0.3]}
+    got = scoring.mean_of([a, b])
+    assert got["gamma_phone"] == pytest.approx([0.3, 0.7]) and got["gamma_star"] == [0.2, 0.8] and got["gamma_name"] == b["gamma_name"]
+
+
+@pytest.mark.parametrize("country", ["AB", "AR", "LC", "LU", "ME", "MK", "NP", "NZ", "SI", "SM", "US", "UZ", "IN", "QQ"])
+def test_every_country_normalises(spark, tmp_path, country):
+    """A generated configuration, one record in Cyrillic and one in Latin, with phones that say their country."""
+    made = config.ensure(str(tmp_path), country)
+    s = Settings.of(config.load(str(made)))
+    line = {"property_code": "1", "property_name": "Гостиница Охрид", "country_code": country, "phone_numbers": "+998 71 120 33 44", "property_type": "Beach Resort", "city_name": "Охрид", "lat": 41.117, "lng": 20.801}
+    (tmp_path / "a_property_info.ndjson").write_text(json.dumps(line) + "\n" + json.dumps({**line, "property_code": "2", "property_name": "北京 Inn"}) + "\n")
+    rows = {r.property_code: r for r in normalize(feeds.read_feeds(spark, str(tmp_path), ["a"]), s).records.collect()}
+    assert rows["1"].property_name_norm == "gostinitsa okhrid" and rows["1"].city_ascii == "okhrid" and rows["2"].property_name_norm == "u5317 u4eac inn"
+    assert rows["1"].phone_e164_list == ["+998711203344"] and rows["1"].property_type_norm == "resort"
+
+
+def test_keywords_of_the_configuration(spark):
+    s = Settings.of({"country": "XX", "property_type_maps": {"keywords": {"boat": ["ship"], "hotel": ["hotel"]}}})
+    raw = spark.createDataFrame([("1", "p", "ship hotel"), ("2", "p", "resort")], "record_id string, provider string, property_type_clean string")
+    assert [r.property_type_norm for r in type_features(raw.withColumn("hotel_chain_clean", F.lit(None).cast("string")), s).orderBy("record_id").collect()] == ["boat", "unknown"]
