@@ -1,17 +1,23 @@
 """Scoring of texts by a log-bilinear neural language model.
 
-Tokens are words between white space, A-Z lowered, and an end. The neural part predicts units: the most
-frequent words and the end, one unit each, and for all other words a class by their spelling (last letters
-and punctuation). A unit's score in the context of the unit before it is ``r_unit . q_context + b_unit``
-(Mnih and Hinton, 2007). The parameters are trained in numpy by noise-contrastive estimation (Mnih and Teh,
-2012) on the counts of unit pairs over all training rows; the expectation over noise from the unit
-frequencies is taken exactly instead of by draws, so training is deterministic. Batched matrix products
-over all units give normalised log-probabilities. Within a class, a word has its share of the class, and
-the unseen words the share that the words seen once suggest (Good-Turing), so the whole is normalised over
-the known words and an unseen one for each class.
-
-Counts of words and of unit pairs cover all training rows and are summed before they are exchanged. A task
-holds the ``head`` most frequent words, a bound that is a parameter; the counts of other words are joined.
+Tokens are words between white space, A-Z lowered, and an end. The neural part predicts units: the ``units`` most
+frequent words and the end, one unit each; ``CLASSES`` classes of the other words of the head; and one for all words
+beyond the head. A unit's score in the context of the unit before it is ``r_unit . q_context + b_unit`` (Mnih and
+Hinton, 2007). The parameters are trained in numpy by noise-contrastive estimation (Mnih and Teh, 2012) on the counts
+of unit pairs over all training rows; the expectation over noise from the unit frequencies is taken exactly instead of
+by draws, so training is deterministic. Batched matrix products over all units give normalised log-probabilities.
+
+The classes are learned: frequent words are grouped by what follows them, each other word of the head is counted
+under the group of the last frequent word before it, over all training rows, and words of like counts are a class.
+
+Within a class a word has its share of the class. The words never seen are one event, as in the base: its probability in
+a context is the sum over classes of the class's probability and of the share of it that the words seen once suggest
+(Good-Turing). So known words, the end and that event add up to one in each context. An unseen word leaves the context
+as it is.
+
+Counts of words, of unit pairs and of words by group cover all training rows and are summed before they are exchanged.
+A task holds the ``head`` most frequent words, a bound that is a parameter; the counts of other words are joined. What
+tasks get are plain lists and arrays: executors need not have this package.
 
 Defined results: a null or empty text is an end alone; null ids are held out; repeated rows are scored each;
 with nothing to learn from, all units are equally likely; an empty table gives an empty result.
@@ -21,8 +27,6 @@ from __future__ import annotations
 
 import collections
 import math
-import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +35,8 @@ from pyspark.sql import functions as F
 
 from concord.llm.common import text_of, written
 
-UNITS, HEAD, CLASSES, WIDTH, NOISE = 1000, 150_000, 144, 48, 10
+UNITS, HEAD, CLASSES, WIDTH, NOISE, GROUPS = 1400, 150_000, 144, 48, 10, 16
 FLUSH = 300_000
-TAIL = re.compile(rb"^(.*?)([\x00-\x2f\x3a-\x60\x7b-\x7f]*)$", re.S)
-
-
-def spelling(word: bytes) -> int:
-    """Class of a word: by its last two bytes before punctuation, and whether it has that, or a full stop."""
-    stem, mark = TAIL.match(word).groups()
-    return zlib.crc32(stem[-2:]) % (CLASSES // 3) * 3 + (0 if not mark else 1 if b"." in mark else 2)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -60,54 +57,96 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 class Codes(dict):
-    """Code of a word: its rank in the head, or len(head) plus its spelling."""
+    """Code of a word: its rank in the head, or len(head) for all others."""
 
     def __init__(self, head: list[bytes]):
-        self.head = len(head)
         self.update(zip(head, range(len(head)), strict=True))
+        self.other = len(head)
 
     def __missing__(self, word: bytes) -> int:
-        code = self.head + spelling(word)
-        if len(self) < self.head + FLUSH:
-            self[word] = code
-        return code
+        return self.other
 
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
-class Units:
-    """Codes and units: 0 is the end, then the most frequent words, then the classes."""
 
-    def __init__(self, head: list[bytes], units: int = UNITS):
-        self.head, self.own = head, min(units, len(head))
-        own = 1 + np.arange(self.own)
-        rest = 1 + self.own + np.array([spelling(w) for w in head[self.own:]], np.int64)
-        self.of = np.concatenate([own, rest, 1 + self.own + np.arange(CLASSES)]).astype(np.int64)
-        self.n = 1 + self.own + CLASSES
+def carried(marks: np.ndarray) -> np.ndarray:
+    """For each place the last mark before it that is not negative; the first place has one."""
+    at = np.maximum.accumulate(np.where(marks >= 0, np.arange(len(marks)), 0))
+    return marks[at]
 
 
-def pair_counts(texts: DataFrame, units: Units) -> np.ndarray:
-    """Counts of (unit before, unit), over all texts; an end stands before the first word."""
-    sent, n = texts.sparkSession.sparkContext.broadcast(units), units.n
+def pair_counts(texts: DataFrame, head: list[bytes], of: np.ndarray, n: int) -> np.ndarray:
+    """Counts of (unit before, unit), over all texts; an end stands before the first word. of: each head word's unit and, last, that of others."""
+    sent = texts.sparkSession.sparkContext.broadcast((head, of))
 
     def run(batches):
-        codes, of, total = Codes(sent.value.head), sent.value.of, np.zeros(n * n, np.int64)
+        head, of = sent.value
+        codes, total = Codes(head), np.zeros(n * n, np.int64)
         for b in batches:
             parts = []
             for text in b.column(0):
-                words = text.as_buffer().to_pybytes().lower().split()
-                parts += [np.zeros(1, np.int64), of[np.fromiter(map(codes.__getitem__, words), np.int64, len(words))]]
+                parts += [np.zeros(1, np.int64), of[codes.of(text.as_buffer().to_pybytes().lower().split())]]
                 if len(parts) > 2000:
                     total += pairs_in(parts, n)
                     parts = []
             total += pairs_in(parts, n)
-        some = np.flatnonzero(total)
-        for at in range(0, len(some), 1 << 16):
-            part = some[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], ["pair", "c"])
+        yield from cells(total, "pair")
 
     table = texts.mapInArrow(run, "pair int, c long").groupBy("pair").agg(F.sum("c").alias("c")).toArrow()
-    out = np.zeros(n * n, np.int64)
-    out[table["pair"].to_numpy()] = table["c"].to_numpy()
-    return out.reshape(n, n)
+    return dense(table, "pair", n * n).reshape(n, n)
+
+
+def group_counts(texts: DataFrame, head: list[bytes], group: np.ndarray, groups: int) -> np.ndarray:
+    """For each head word how often the last frequent word before it was of each group; group: -1 for words that aren't frequent."""
+    sent, n = texts.sparkSession.sparkContext.broadcast((head, group)), len(head)
+
+    def run(batches):
+        head, group = sent.value
+        codes, total = Codes(head), np.zeros((n + 1) * groups, np.int32)
+        for b in batches:
+            for text in b.column(0):
+                code = codes.of(text.as_buffer().to_pybytes().lower().split())
+                if len(code):
+                    before = carried(np.append(0, group[code]))[:-1]
+                    np.add.at(total, code * groups + before, 1)
+        total[n * groups:] = 0
+        yield from cells(total, "cell")
+
+    table = texts.mapInArrow(run, "cell int, c long").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()
+    return dense(table, "cell", n * groups).reshape(n, groups)
+
+
+def cells(total: np.ndarray, name: str):
+    """The cells of a table that aren't empty, in batches."""
+    some = np.flatnonzero(total)
+    for at in range(0, len(some), 1 << 16):
+        part = some[at:at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part].astype(np.int64))], [name, "c"])
+
+
+def dense(table: pa.Table, name: str, n: int) -> np.ndarray:
+    out = np.zeros(n, np.int64)
+    out[table[name].to_numpy()] = table["c"].to_numpy()
+    return out
+
+
+def clusters(rows: np.ndarray, weight: np.ndarray, k: int, steps: int = 12) -> np.ndarray:
+    """Groups of rows of counts by k-means on the square roots of their shares; the start is spread by farthest rows."""
+    if len(rows) <= k:
+        return np.arange(len(rows))
+    x = np.sqrt((rows + rows.sum(0) / max(rows.sum(), 1)) / (rows.sum(1, keepdims=True) + 1)).astype(np.float32)
+    seeds, far = [int(weight.argmax())], np.full(len(x), np.inf, np.float32)
+    while len(seeds) < k:
+        far = np.minimum(far, ((x - x[seeds[-1]]) ** 2).sum(1))
+        seeds.append(int((far * np.sqrt(weight)).argmax()))
+    centre = x[seeds]
+    for _ in range(steps):
+        of = np.concatenate([(x[at:at + 8192] @ centre.T * 2 - (centre**2).sum(1)).argmax(1) for at in range(0, len(x), 8192)])
+        mass = np.bincount(of, weight, k)
+        for d in range(x.shape[1]):
+            centre[:, d] = np.where(mass > 0, np.bincount(of, weight * x[:, d], k) / np.maximum(mass, 1e-9), centre[:, d])
+    return of
 
 
 def pairs_in(parts: list[np.ndarray], n: int) -> np.ndarray:
@@ -157,7 +196,10 @@ def log10_table(context: np.ndarray, unit: np.ndarray, bias: np.ndarray, batch:
 
 
 class Model:
-    """What a task needs: units, neural parameters, the head's counts and the classes' shares."""
+    """head: the words that tasks know; of: their units and, last, the unit of others; own: how many have a unit each.
+
+    class_c, class_once: tokens, and words seen once, of each class, the last for the words beyond the head.
+    """
 
 
 def learn(texts: DataFrame, units: int = UNITS, head: int = HEAD) -> tuple[Model, DataFrame]:
@@ -165,7 +207,7 @@ def learn(texts: DataFrame, units: int = UNITS, head: int = HEAD) -> tuple[Model
     counts = written(word_counts(texts), "words")
     ends = texts.count()
     level = F.floor(16 * F.log2("c"))
-    levels = sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("n"), F.sum("c").alias("c")).collect(), reverse=True)
+    levels = sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("n"), F.sum("c").alias("c"), F.count_if(F.col("c") == 1).alias("once")).collect(), reverse=True)
     least, held = math.inf, 0
     for r in levels:
         held += r.n
@@ -175,73 +217,94 @@ def learn(texts: DataFrame, units: int = UNITS, head: int = HEAD) -> tuple[Model
     top = counts.where(level >= least).toArrow() if levels and least < math.inf else None
     order = sorted(zip(top["c"].to_pylist(), top["word"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1])) if top else []
     m = Model()
-    m.units, m.head_c = Units([w for _, w in order], units), np.array([c for c, _ in order], np.int64)
+    m.head, m.head_c = [w for _, w in order], np.array([c for c, _ in order], np.int64)
     m.ends, m.total = ends, sum(r.c for r in levels) + ends
     m.distinct = sum(r.n for r in levels) + (ends > 0)
-    m.parameters = train(pair_counts(texts, m.units))
-    own, sent = m.units.own, texts.sparkSession.sparkContext.broadcast(set(m.units.head[:m.units.own]))
-
-    def by_class(batches):
-        c, once = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-        for b in batches:
-            n = b.column(1).to_numpy()
-            at = np.array([-1 if w in sent.value else spelling(w) for w in b.column(0).to_pylist()], np.int64)
-            c += np.bincount(at[at >= 0], n[at >= 0], CLASSES).astype(np.int64)
-            once += np.bincount(at[(at >= 0) & (n == 1)], minlength=CLASSES)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(c), pa.array(once)], ["class", "c", "once"])
-
-    m.class_c, m.class_once = np.zeros(CLASSES), np.ones(CLASSES)
-    for r in counts.mapInArrow(by_class, "class long, c long, once long").groupBy("class").agg(F.sum("c").alias("c"), F.sum("once").alias("once")).collect():
-        m.class_c[r["class"]], m.class_once[r["class"]] = r.c, max(1, r.once)
-    m.own = own
+    m.own = own = min(units, len(m.head))
+    # units: the end, frequent words, classes, words beyond the head
+    rest = classes_of(texts, m)
+    m.n = 1 + own + CLASSES + 1
+    m.of = np.concatenate([1 + np.arange(own), 1 + own + rest, [m.n - 1]]).astype(np.int64)
+    m.parameters = train(pair_counts(texts, m.head, m.of, m.n))
+    m.class_c, m.class_once = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
+    np.add.at(m.class_c, rest, m.head_c[own:])
+    np.add.at(m.class_once, rest, m.head_c[own:] == 1)
+    beyond = [r for r in levels if r.level < least]
+    m.class_c[-1], m.class_once[-1] = sum(r.c for r in beyond), sum(r.once for r in beyond)
+    m.class_once = np.maximum(m.class_once, 0.5)
     return m, counts
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<int>, unseen array<double>"
+def classes_of(texts: DataFrame, m: Model) -> np.ndarray:
+    """The class of each head word without a unit of its own."""
+    own, rest = m.own, m.head_c[m.own:]
+    if not len(rest):
+        return np.zeros(0, np.int64)
+    first = np.concatenate([1 + np.arange(own), np.full(len(rest) + 1, own + 1)]).astype(np.int64)
+    follow = pair_counts(texts, m.head, first, own + 2)
+    frequent = min(own, 400)  # what follows by the most frequent words tells enough
+    groups = clusters(follow[1:own + 1, 1:frequent + 1].astype(float), m.head_c[:own].astype(float), GROUPS)
+    group = np.concatenate([groups, np.full(len(rest) + 1, -1)]).astype(np.int64)
+    seen = group_counts(texts, m.head, group, GROUPS)
+    return clusters(seen[own:].astype(float), rest.astype(float), CLASSES)
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, words array<binary>, times array<int>, known array<double>, unseen array<double>"
 
 
 def score(docs: DataFrame, m: Model, counts: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs, which has held_out."""
-    sent = docs.sparkSession.sparkContext.broadcast(m)
+    sent = docs.sparkSession.sparkContext.broadcast(dict(vars(m)))
     scale = math.log10(m.total + 0.5 * (m.distinct + 1))
 
     def run(batches):
-        m = sent.value
-        head, n = len(m.units.head), m.units.n
-        table, codes, of = log10_table(*m.parameters).ravel(), Codes(m.units.head), m.units.of
-        sums = np.log10(m.class_c + m.class_once)
-        base = np.concatenate([np.log10(m.head_c + 0.5) - scale, np.zeros(CLASSES)])
-        within = np.concatenate([np.zeros(m.own), np.log10(m.head_c[m.own:]) - sums[of[m.own:head] - 1 - m.own], -sums])
-        once = np.log10(m.class_once)
-        end_base = math.log10(m.ends + 0.5) - scale
+        v = sent.value
+        head, n, own, of = len(v["head"]), v["n"], v["own"], v["of"]
+        table, codes = log10_table(*v["parameters"]), Codes(v["head"])
+        mass = v["class_c"] + v["class_once"]
+        # an unseen word in each context: what the words seen once are of each class
+        unseen = np.log10((10.0 ** table[:, 1 + own:].astype(np.float64)) @ (v["class_once"] / mass))
+        table = table.ravel()
+        base = np.append(np.log10(v["head_c"] + 0.5) - scale, 0.0)
+        within = np.concatenate([np.zeros(own), np.log10(v["head_c"][own:]) - np.log10(mass)[of[own:head] - 1 - own], [0.0]])
+        end_base = math.log10(v["ends"] + 0.5) - scale
         for b in batches:
             rows = []
             for doc_id, held, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 words = text.as_buffer().to_pybytes().lower().split()
-                code = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
+                code = codes.of(words)
                 unit = np.concatenate([[0], of[code], [0]])
-                value = float(table[unit[:-1] * n + unit[1:]].sum(dtype=np.float64) + within[code].sum())
+                # a word beyond the head leaves the context as it is
+                before = carried(np.concatenate([[0], np.where(code < head, of[code], -1)]))
+                gain = table[before * n + unit[1:]].astype(np.float64)
                 at = np.flatnonzero(code >= head)
-                rare = collections.Counter(words[i] for i in at)
+                rare: dict[bytes, list] = {}
+                for i in at.tolist():
+                    found = rare.setdefault(words[i], [0, 0.0, 0.0])
+                    found[0] += 1
+                    found[1] += float(gain[i])
+                    found[2] += float(unseen[before[i]])
+                gain[at] = 0
                 rows.append((
-                    doc_id, held, len(words) + 1, len(words) - len(at) + (m.ends > 0), float(base[code].sum()) + end_base, value,
-                    list(rare), list(rare.values()), [float(once[codes[w] - head]) for w in rare],
+                    doc_id, held, len(words) + 1, len(words) - len(at) + (v["ends"] > 0), float(base[code].sum()) + end_base, float(gain.sum() + within[code].sum()),
+                    list(rare), *([x[k] for x in rare.values()] for k in range(3)),
                 ))
-            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.float64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 9, types, strict=True)], [x.split()[0] for x in SCORED.split(", ")])
+            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.list_(pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 10, types, strict=True)], [x.split()[0] for x in SCORED.split(", ")])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", text_of().cast("binary").alias("text")).mapInArrow(run, SCORED)
     rows = written(rows.withColumn("__id", F.monotonically_increasing_id()), "scored")
-    rare = rows.select("__id", F.explode(F.arrays_zip("words", "times", "unseen")).alias("x")).select("__id", F.col("x.words").alias("word"), F.col("x.times").alias("n"), "x.unseen")
+    rare = rows.select("__id", F.explode(F.arrays_zip("words", "times", "known", "unseen")).alias("x")).select("__id", F.col("x.words").alias("word"), F.col("x.times").alias("n"), F.col("x.known").alias("if_known"), "x.unseen")
     joined = rare.join(counts, "word", "left")
     known = F.col("c").isNotNull()
+    beyond = math.log10(float(m.class_c[-1] + m.class_once[-1]))
     more = joined.groupBy("__id").agg(
         F.sum(F.when(known, F.col("n")).otherwise(0)).alias("more_known"),
         F.sum(F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 0.5) - scale)).alias("more_base"),
-        F.sum(F.col("n") * F.when(known, F.log10(F.col("c"))).otherwise(F.col("unseen"))).alias("more_score"),
+        F.sum(F.when(known, F.col("if_known") + F.col("n") * (F.log10("c") - beyond)).otherwise(F.col("unseen"))).alias("more_score"),
     )
     zero = lambda name: F.coalesce(F.col(name), F.lit(0))
-    return rows.drop("words", "times", "unseen").join(more, "__id", "left").select(
+    return rows.drop("words", "times", "known", "unseen").join(more, "__id", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + zero("more_known")).cast("long").alias("n_known"), F.lit(m.total).cast("long").alias("train_tokens"),
         (F.col("base") + zero("more_base")).alias("base_score"), (F.col("score") + zero("more_score")).alias("score"),
     )

@@ -32,39 +32,64 @@ def test_base_and_counts(odd, head):
     assert all(r.score < 0 for r in got)
 
 
-def test_probabilities_sum_to_one(spark, frame):
+@pytest.mark.parametrize(("units", "head"), [(4, 6), (3, 100), (100, 100)])
+def test_probabilities_sum_to_one(spark, units, head):
+    """After each context: all known words, one unseen word for the event of unseen ones, and the end."""
     texts = ["the cat sat on the mat", "the dog sat.", "a cat and a dog", "on on on"]
     train = spark.createDataFrame([(t,) for t in texts], "text string").select(F.col("text").cast("binary").alias("text"))
-    model, counts = lm.learn(train, units=4, head=6)
-    words = sorted({w for t in texts for w in t.split()})
-    classes = {lm.spelling(w.encode()) for w in words}
-    unseen, i = {}, 0
-    while len(unseen) < lm.CLASSES and i < 200_000:
-        unseen.setdefault(lm.spelling(f"zq{i:x}{chr(97 + i % 26)}{'.' * (i % 2)}".encode() if i % 3 else f"q{i},".encode()), f"zq{i:x}{chr(97 + i % 26)}{'.' * (i % 2)}" if i % 3 else f"q{i},")
-        i += 1
-    reach = [*words, *(w for k, w in unseen.items())]
-    got = lm.score(spark.createDataFrame([(k, f"cat {w}") for k, w in enumerate([*reach, ""])], "doc_id long, text string").withColumn("held_out", F.lit(True)), model, counts)
-    value = {r.doc_id: r.score for r in got.collect()}
+    model, counts = lm.learn(train, units=units, head=head)
+    reach = [*sorted({w for t in texts for w in t.split()}), "neverseen", ""]
+    asked = [(context, w) for context in ("", "cat", "the dog") for w in reach]
+    frame = spark.createDataFrame([(k, f"{c} {w}") for k, (c, w) in enumerate(asked)], "doc_id long, text string").withColumn("held_out", F.lit(True))
+    value = {asked[r.doc_id]: r.score for r in lm.score(frame, model, counts).collect()}
     table = lm.log10_table(*model.parameters)
     assert np.allclose((10.0 ** table).sum(1), 1, atol=1e-3)
-    # P(word | cat), from the texts "cat word": less the first word and the end after the second
-    sums = np.log10(model.class_c + model.class_once)
-    mass = 0.0
-    for k, w in enumerate(reach):
-        codes = lm.Codes(model.units.head)
-        cat, unit = (int(model.units.of[codes[x.encode()]]) for x in ("cat", w))
-        rest = value[len(reach)] - float(table[cat, 0])  # log10 P(cat | end)
-        mass += 10 ** (value[k] - rest - float(table[unit, 0]))
-    missing = set(range(lm.CLASSES)) - set(unseen)
-    mass += sum(10 ** float(table[cat, 1 + model.own + k] + math.log10(model.class_once[k]) - sums[k]) for k in missing)
-    mass += 10 ** float(table[cat, 0])  # the end
-    assert abs(mass - 1) < 1e-3 and classes
+    unit = lambda w: int(model.of[lm.Codes(model.head)[w.encode()]]) if w in reach[:-2] and w.encode() in model.head else None
+    for context in ("", "cat", "the dog"):
+        last = unit(context.split()[-1]) if context else 0
+        last = 0 if last is None else last
+        before = value[context, ""] - float(table[last, 0])  # the words of the context, without the end
+        mass = 10 ** float(table[last, 0])
+        for w in reach[:-1]:
+            after = unit(w)
+            mass += 10 ** (value[context, w] - before - float(table[last if after is None else after, 0]))
+        assert abs(mass - 1) < 2e-3, (context, mass)
 
 
 def test_beats_the_base_on_held_out_rows(spark):
-    got = scored(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))[0].where("held_out").toPandas()
+    """On all tokens, on known ones, and on known words without a unit of their own: not the unseen ones alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").withColumn("held_out", lm.held_out())
+    model, counts = lm.learn(docs.where("not held_out").select(text_of().cast("binary").alias("text")), units=300)
+    got = lm.score(docs, model, counts).where("held_out").toPandas()
     assert (got.score.sum() - got.base_score.sum()) / got.n_tokens.sum() > 0.2
     assert (got.score > got.base_score).mean() > 0.9
+    train = {r.text for r in docs.where("not held_out").collect()}
+    table, codes = lm.log10_table(*model.parameters), lm.Codes(model.head)
+    head, scale = len(model.head), math.log10(model.total + 0.5 * (model.distinct + 1))
+    mass = np.log10(model.class_c + model.class_once)
+    gains = {"frequent": [], "class": []}
+    for r in docs.where("held_out").collect():
+        if r.text in train:
+            continue
+        code = codes.of((r.text or "").encode().lower().split())
+        before = lm.carried(np.concatenate([[0], np.where(code < head, model.of[code], -1)]))
+        for c, u in zip(code, before):
+            if c < head:
+                value = float(table[u, model.of[c]])
+                if c >= model.own:
+                    value += math.log10(model.head_c[c]) - mass[model.of[c] - 1 - model.own]
+                gains["frequent" if c < model.own else "class"].append(value - math.log10(model.head_c[c] + 0.5) + scale)
+    print({k: (len(v), sum(v) / len(v)) for k, v in gains.items()})
+    assert sum(gains["frequent"]) / len(gains["frequent"]) > 0.05 and sum(gains["class"]) / len(gains["class"]) > 0.05
+
+
+def test_executors_need_not_have_the_package():
+    """What tasks get is pickled without a name of the package in it."""
+    from pyspark import cloudpickle
+
+    m = lm.Model()
+    m.head, m.of = [b"a"], np.zeros(2, np.int64)
+    assert b"concord" not in cloudpickle.dumps(dict(vars(m)))
 
 
 def test_empty(frame):
