@@ -15,10 +15,13 @@ gives an empty result; shards can be empty when there are fewer rows than shards
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from concord.llm.common import located, partitions, text_of, written
 
@@ -26,14 +29,16 @@ PER_SPLITTER = 64
 KEY = 32
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and the 32 hexadecimal digits of the key."""
+def key_of() -> Column:
+    """32 hexadecimal digits: a hash of the text, then one of the id and the place."""
     digits = lambda c: F.lpad(F.hex(c), 16, "0")
+    return F.concat(digits(F.xxhash64(text_of())), digits(F.xxhash64("doc_id", "__file", "__row")))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, size, text_crc32 and key."""
     text = text_of()
-    return located(docs).select(
-        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.concat(digits(F.xxhash64(text)), digits(F.xxhash64("doc_id", "__file", "__row"))).alias("key"),
-    )
+    return located(docs).select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), key_of().alias("key"))
 
 
 def _keys(column) -> np.ndarray:
@@ -107,9 +112,17 @@ def splitters(keys: DataFrame, shards: int, tolerance: float) -> list[bytes]:
     return [near(t) for t in targets]
 
 
-def histogram_shards(docs: DataFrame, shards: int = 40, tolerance: float = 0.0005, rows_per_range: int = 200_000) -> DataFrame:
-    """doc_id, size, text_crc32, key, shard, slot for each row of docs."""
-    keys = written(keyed(docs), "keys")
+@dataclass(frozen=True)
+class Cuts:
+    """Bounds of ranges of keys, and for each range its shard and the rows below it in the shard."""
+
+    bounds: np.ndarray
+    shard: np.ndarray
+    base: np.ndarray
+
+
+def cut(keys: DataFrame, shards: int, tolerance: float, rows_per_range: int) -> Cuts:
+    """The splitters of the shards, and finer bounds so that a range has a bounded number of rows."""
     cuts = splitters(keys, shards, tolerance)
     _, rows = below(keys, sorted(set(cuts)))
     share = min(1.0, 4.0 / rows_per_range) if rows[-1] > rows_per_range * shards else 0
@@ -117,27 +130,39 @@ def histogram_shards(docs: DataFrame, shards: int = 40, tolerance: float = 0.000
     bounds = sorted({*cuts, *finer})
     _, counts = below(keys, bounds)
     starts = np.array([0, *counts[:-1]])  # rows below each range
-    bound_array, cut_array = np.array(bounds, f"S{KEY}"), np.array(sorted(cuts), f"S{KEY}")
-    shard_of = np.searchsorted(cut_array, np.array([b"", *bounds], f"S{KEY}"), side="right")
-    shard_start = np.array([starts[np.flatnonzero(shard_of == s)[0]] if (shard_of == s).any() else 0 for s in range(shards)])
+    shard = np.searchsorted(np.array(sorted(cuts), f"S{KEY}"), np.array([b"", *bounds], f"S{KEY}"), side="right")
+    first = np.array([starts[np.flatnonzero(shard == s)[0]] if (shard == s).any() else 0 for s in range(shards)])
+    return Cuts(np.array(bounds, f"S{KEY}"), shard.astype(np.int32), starts - first[shard])
+
+
+def placed(rows: DataFrame, cuts: Cuts, key: str) -> DataFrame:
+    """rows, exchanged once, with shard and slot; key: the name of their key's column."""
+    at, (bounds, shard, base) = rows.columns.index(key), (cuts.bounds, cuts.shard, cuts.base)
+    more = StructType([StructField("__range", IntegerType()), StructField("shard", IntegerType()), StructField("__base", LongType())])
 
     def place(batches):
         for b in batches:
-            r = np.searchsorted(bound_array, _keys(b.column(b.schema.get_field_index("key"))), side="right")
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(r.astype(np.int32)), pa.array(shard_of[r].astype(np.int32)), pa.array(starts[r] - shard_start[shard_of[r]])], [*b.schema.names, "range", "shard", "base"])
+            r = np.searchsorted(bounds, _keys(b.column(at)), side="right")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(r.astype(np.int32)), pa.array(shard[r]), pa.array(base[r])], [*b.schema.names, "__range", "shard", "__base"])
+
+    n = max(partitions(rows.sparkSession), len(bounds) + 1)
+    rank = F.expr(f"row_number() over (partition by __range order by `{key}`, doc_id)")
+    out = rows.mapInArrow(place, StructType([*rows.schema.fields, *more.fields])).repartition(n, "__range")
+    return out.withColumn("slot", F.col("__base") + rank - 1).drop("__base", "__range")
 
-    placed = keys.mapInArrow(place, "doc_id long, size long, text_crc32 long, key string, range int, shard int, base long")
-    n = max(partitions(docs.sparkSession), len(bounds) + 1)
-    rank = F.expr("row_number() over (partition by range order by key, doc_id)")
-    return placed.repartition(n, "range").withColumn("slot", F.col("base") + rank - 1).drop("base", "range")
+
+def histogram_shards(docs: DataFrame, shards: int = 40, tolerance: float = 0.0005, rows_per_range: int = 200_000) -> DataFrame:
+    """doc_id, size, text_crc32, key, shard, slot for each row of docs."""
+    keys = written(keyed(docs), "keys")
+    return placed(keys, cut(keys, shards, tolerance, rows_per_range), "key")
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = 40, **how) -> None:
-    """docs, with shard and slot, as one folder for each shard."""
-    docs = located(docs)  # once: the places of both sides of the join
-    placed = histogram_shards(docs, shards, **how).select("key", F.col("shard"), F.col("slot"))
-    place = F.concat(F.lpad(F.hex(F.xxhash64(text_of())), 16, "0"), F.lpad(F.hex(F.xxhash64("doc_id", "__file", "__row")), 16, "0"))
-    docs.withColumn("__key", place).join(placed.withColumnRenamed("key", "__key"), "__key").drop("__key", "__file", "__row").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, shards: int = 40, tolerance: float = 0.0005, rows_per_range: int = 200_000) -> None:
+    """docs, with shard and slot, as one folder for each shard; the texts are exchanged once. Own columns of these names become own_<name>."""
+    docs = located(docs.withColumnsRenamed({c: f"own_{c}" for c in ("shard", "slot") if c in docs.columns}))  # once: the keys are made of the places
+    cuts = cut(written(keyed(docs).select("key", "size"), "keys"), shards, tolerance, rows_per_range)
+    rows = docs.withColumn("__key", key_of()).drop("__file", "__row")
+    placed(rows, cuts, "__key").drop("__key").write.partitionBy("shard").parquet(path)
 
 
 def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import math
 import re
 import zlib
 
@@ -85,14 +86,30 @@ def test_histogram_shards(frame, odd):
     assert shards.histogram_shards(frame([]), 8).collect() == []
 
 
+def test_splitters_are_those_of_a_full_sort(frame):
+    """Each shard ends at the row where the bytes below come nearest to its share, or within the tolerance of that."""
+    rng = np.random.default_rng(3)
+    docs = frame([(i, "w" * int(n)) for i, n in enumerate(rng.choice([5, 40, 300, 4000], 1200))] + [(i, "one text of many rows") for i in range(2000, 2600)])
+    for tolerance in (0.0005, 0.05):
+        got = sorted(shards.histogram_shards(docs, 8, tolerance=tolerance).collect(), key=lambda r: r.key)
+        assert [r.shard for r in got] == sorted(r.shard for r in got)
+        ends = np.cumsum([0, *(r.size for r in got)])  # bytes below each row, and at the end all
+        for k in range(1, 8):
+            target = ends[-1] * k / 8
+            cut = ends[sum(r.shard < k for r in got)]
+            assert abs(cut - target) <= max(tolerance * ends[-1] / 8, abs(ends - target).min()) + 1e-6
+
+
 def test_write_shards(spark, frame, tmp_path):
     docs = frame([(i, f"text {i}") for i in range(50)])
     path = str(tmp_path / "in")
-    docs.drop("shard", "key").write.parquet(path)
+    docs.write.parquet(path)
     shards.write_shards(spark.read.parquet(path), str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r.text for r in back.collect()) == sorted(f"text {i}" for i in range(50))
-    assert back.select("shard").distinct().count() == 4
+    assert back.select("shard").distinct().count() == 4 and {r.own_shard for r in back.collect()} == {"z"}
+    placed = {r.doc_id: (r.shard, r.slot) for r in shards.histogram_shards(spark.read.parquet(path), 4).collect()}
+    assert {r.doc_id: (r.shard, r.slot) for r in back.collect()} == placed
 
 
 def test_packing(frame, odd):
@@ -197,6 +214,28 @@ def test_language_id(spark, frame, odd):
     assert {r.lang_pred for r in lid.identify(frame([(3, "egal")]), one).collect()} == {"de"}
 
 
+def test_decoding_is_that_of_all_codewords():
+    """Least loss over all codewords, bit by bit, in plain Python."""
+    rng = np.random.default_rng(5)
+    for n in (2, 4, 7):
+        codes = lid.codewords(n)
+        w = rng.standard_normal((lid.WIDTH + 1, codes.shape[1])).astype(np.float32)
+        weight = rng.random(codes.shape[1]).astype(np.float32)
+        model = lid.Identifier([f"l{i}" for i in range(n)], w, codes, weight)
+        for text in ("one text", "a much longer text of other words", "ünï çödé", "x"):
+            margin = [float(sum(f * w[k, b] for k, f in enumerate(lid.features(text.encode())) if f) + w[-1, b]) for b in range(codes.shape[1])]
+            loss = [sum(weight[b] * math.log1p(math.exp(-codes[i, b] * margin[b])) for b in range(codes.shape[1])) for i in range(n)]
+            lang, score, ambiguous = model.predict(text.encode())
+            best = min(range(n), key=loss.__getitem__)
+            p = [math.exp(-4 * (x - loss[best])) for x in loss]
+            assert lang == f"l{best}" and abs(score - 1 / sum(p)) < 1e-4 and ambiguous == (sorted(loss)[1] - loss[best] < 0.1)
+
+
+def test_more_languages_than_may_be(frame):
+    with pytest.raises(ValueError):
+        lid.learn(frame([(i, "text", f"l{i}") for i in range(5)]), most_languages=4)
+
+
 def test_codewords():
     for n in (2, 3, 4, 5, 8, 20):
         codes = lid.codewords(n)
