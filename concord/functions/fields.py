@@ -20,6 +20,7 @@ TYPE_KEYWORDS = {
 }
 #: Strings that say there is no chain.
 NO_CHAIN = ("no chain", "independent", "none", "n/a")
+#: Patterns of postal codes in their field and in an address.
 POSTAL_FIELD, POSTAL_ADDRESS = "([1-9][0-9]{5})", r"\b([1-9][0-9]{5})\b"
 
 

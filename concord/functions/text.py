@@ -125,7 +125,7 @@ def name_tokens(norm: Column, min_len: int = 2) -> Column:
 
 def signature(tokens: Column) -> Column:
     """The words in order of the alphabet."""
-    return F.array_join(F.array_sort(tokens), " ")
+    return F.array_join(F.sort_array(tokens), " ")
 
 
 def one_of(token: Column, words) -> Column:

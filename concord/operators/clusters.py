@@ -237,6 +237,7 @@ def same_provider_pairs(m: DataFrame, p: ClusterPolicy = V2_4) -> DataFrame:
     return both.groupBy("root").agg(F.sum("w").alias("same_provider_pair_count"), F.max("d").alias("max_same_provider_pair_dist_m"), F.min("j").alias("min_same_provider_pair_jaccard"), F.bool_and(benign).alias("same_provider_pairs_benign"))
 
 
+#: Words of an apartment, and numbers of a unit.
 APARTMENT = r"\b(apartment|apartments|apt|studio|bedroom|bedrooms|condos?|penthouse|loft|residences)\b"
 UNIT = r"\b(?:apt|apartment|unit|room|suite|studio|flat|condo|villa|no)\s*#?\s*([0-9]{1,5})\b"
 

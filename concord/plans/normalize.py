@@ -21,6 +21,10 @@ CLEAN = ("property_name", "address_lines", "city_name", "state", "country_code",
 CLEAN_NAMES = {"property_name": "property_name_clean", "address_lines": "address_clean", "city_name": "city_clean"}
 
 
+#: Names before the @ that are no one's own.
+GENERIC_LOCALS = ("info", "reservation", "reservations", "booking", "bookings", "sales", "contact", "frontoffice", "frontdesk", "enquiry", "enquiries", "admin", "support", "stay", "hotel")
+
+
 @dataclass(frozen=True)
 class Settings:
     country: str = ""
@@ -35,7 +39,7 @@ class Settings:
     tokens: TokenConfig = TokenConfig()
     policy: Policy = Policy()
     reuse: tuple[int, int, int] = (5, 5, 20)
-    generic_locals: tuple[str, ...] = ("info", "reservation", "reservations", "booking", "bookings", "sales", "contact", "frontoffice", "frontdesk", "enquiry", "enquiries", "admin", "support", "stay", "hotel")
+    generic_locals: tuple[str, ...] = GENERIC_LOCALS
     weak_domains: tuple[str, ...] = ()
     iso2_providers: tuple[str, ...] = ("agoda", "grnc")
     numeric_countries: dict = field(default_factory=dict)
@@ -159,8 +163,14 @@ class Normalized:
     tokens: DataFrame
 
 
+def spread(raw: DataFrame) -> DataFrame:
+    """A feed in fewer parts than there are cores, dealt out by record: all steps after it have as many tasks as it has parts."""
+    n = raw.sparkSession.sparkContext.defaultParallelism
+    return raw if raw.rdd.getNumPartitions() >= n else raw.repartition(n, "record_id")
+
+
 def normalize(raw: DataFrame, s: Settings = Settings()) -> Normalized:
-    rows = written(base(raw, s), "base")
+    rows = written(base(spread(raw), s), "base")
     exploded = written(tokens.exploded(rows, s.tokens.min_len), "tokens")
     stats = written(tokens.global_stats(rows, exploded), "stats")
     cities = tokens.city_stats(exploded)
