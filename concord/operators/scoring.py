@@ -21,11 +21,15 @@ PERSIST_FLOOR = 0.01
 
 
 def prepared(records: DataFrame) -> DataFrame:
-    """The fields that are compared: no empty strings, no empty token lists, no unknown type, no coarse places."""
+    """The fields that are compared: no empty strings, no empty token lists, no unknown type, no coarse places.
+
+    Tokens are compared by hashes of 64 bits and signatures by digests of 128, so that pairs carry no names.
+    """
     text = lambda c: F.nullif(F.col(c), F.lit(""))
-    some = lambda c: F.when(F.size(c) > 0, F.col(c))
+    some = lambda c: F.when(F.size(c) > 0, F.transform(c, lambda t: F.xxhash64(t)))
     coarse = F.coalesce("lat_lng_low_precision", F.lit(False))
     out = {c: text(c) for c in ("property_name_core", "property_name_signature", "property_name_match_signature", "city_name_norm", "postal_code_final", "hotel_chain_norm", "website_domain_norm")}
+    out |= {c: F.md5(text(c)) for c in ("property_name_signature", "property_name_match_signature")}
     out |= {c: some(c) for c in ("property_name_core_tokens", "property_name_match_tokens")}
     out |= {c: F.when(~coarse, F.col(c)) for c in ("lat_norm", "lng_norm")}
     out |= {"property_type_norm": F.nullif(text("property_type_norm"), F.lit("unknown")), "primary_phone": F.get("phone_last10_non_reused_list", F.lit(0))}
@@ -235,9 +239,9 @@ def mean_of(sessions: list[dict[str, list[float]]]) -> dict[str, list[float]]:
 
 
 def frequencies(records: DataFrame, column: str = "property_name_match_signature") -> DataFrame:
-    """equal_signature and tf, its share of the records that have one."""
+    """equal_signature (a digest) and tf, its share of the records that have one."""
     some = records.where(F.coalesce(F.col(column), F.lit("")) != "")
-    return some.groupBy(F.col(column).alias("equal_signature")).agg(F.count("*").alias("n")).crossJoin(F.broadcast(some.agg(F.count("*").alias("total")))).select("equal_signature", (F.col("n") / F.col("total")).alias("tf"))
+    return some.groupBy(F.md5(column).alias("equal_signature")).agg(F.count("*").alias("n")).crossJoin(F.broadcast(some.agg(F.count("*").alias("total")))).select("equal_signature", (F.col("n") / F.col("total")).alias("tf"))
 
 
 def scored(rows: DataFrame, model: Model = FIXED, tf: DataFrame | None = None, tf_on: str = "gamma_name") -> DataFrame:

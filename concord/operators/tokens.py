@@ -136,9 +136,12 @@ def context(*columns: str) -> Column:
     return F.concat(*(F.split(F.coalesce(F.col(c), F.lit("")), " ") for c in columns))
 
 
-def without(records: DataFrame, column: str, stop: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """records with the tokens of ``column`` less those of the stop frame (token, and keys to match): a join, since the lists grow with the data."""
-    rest = records.select("record_id", *keys, F.explode(column).alias("token")).join(stop, [*keys, "token"], "left_anti")
+def without(records: DataFrame, column: str, *stops: tuple[DataFrame, tuple[str, ...]]) -> DataFrame:
+    """records with the tokens of ``column`` less those of each stop frame (token, and keys to match): joins, since the lists grow with the data."""
+    keys = dict.fromkeys(k for _, by in stops for k in by)
+    rest = records.select("record_id", *keys, F.explode(column).alias("token"))
+    for stop, by in stops:
+        rest = rest.join(stop, [*by, "token"], "left_anti")
     kept = rest.groupBy("record_id").agg(F.collect_set("token").alias("__kept"))
     return records.join(kept, "record_id", "left").withColumn(column, F.coalesce(F.array_intersect(column, "__kept"), F.array().cast("array<string>"))).drop("__kept")
 
@@ -146,7 +149,7 @@ def without(records: DataFrame, column: str, stop: DataFrame, keys: tuple[str, .
 def blocking_tokens(records: DataFrame, stats: DataFrame, c: TokenConfig = TokenConfig()) -> DataFrame:
     base = F.array_except(F.filter("property_name_core_tokens", lambda t: F.length(t) >= c.blocking_len), context("city_name_norm"))
     stop = stats.where(F.col("doc_freq_ratio") >= c.blocking_ratio).select("token")
-    return without(records.withColumn("property_name_blocking_tokens", base), "property_name_blocking_tokens", stop)
+    return without(records.withColumn("property_name_blocking_tokens", base), "property_name_blocking_tokens", (stop, ()))
 
 
 def city_overcommon(records: DataFrame, tokens: DataFrame, stats_by_city: DataFrame, c: TokenConfig = TokenConfig()) -> DataFrame:
@@ -166,12 +169,11 @@ def match_tokens(records: DataFrame, stats: DataFrame, overcommon: DataFrame, p:
     stop = stats.where(F.col("doc_freq_ratio") >= c.match_ratio).select("token")
     keep = stats.where((F.col("doc_freq") <= c.area_keep_max) & (F.col("token_length") >= 4) & ~F.col("is_numeric")).select("token")
     # area words are context unless they identify: leave those out of the context
-    areas = without(records.select("record_id", F.split(F.coalesce("area_clean", F.lit("")), " ").alias("__area")), "__area", keep)
+    areas = without(records.select("record_id", F.split(F.coalesce("area_clean", F.lit("")), " ").alias("__area")), "__area", (keep, ()))
     own = F.concat(context("city_name_norm", "state_norm", "country_name_clean"), F.col("__area"))
     base = F.array_except(F.filter(t, lambda x: (F.length(x) >= c.match_len) & ~number(x) & ~one_of(x, (*MATCH_WEAK, *p.brand, *p.location))), own)
     rows = records.join(areas, "record_id").withColumn("property_name_match_tokens", base)
-    rows = without(rows, "property_name_match_tokens", stop)
-    rows = without(rows, "property_name_match_tokens", overcommon, ("city_name_norm",))
+    rows = without(rows, "property_name_match_tokens", (stop, ()), (overcommon, ("city_name_norm",)))
     rest = F.array_except(F.filter(t, lambda x: (F.length(x) >= 2) & ~number(x)), own)
     strong = F.array_except(rest, F.array(*map(F.lit, MATCH_WEAK)))
     m = F.col("property_name_match_tokens")
