@@ -261,6 +261,9 @@ step("feat", """SELECT *, CASE WHEN j IS NULL THEN -1 WHEN sig_exact THEN 5 WHEN
  CASE WHEN d IS NULL THEN -1 WHEN d <= 25 THEN 4 WHEN d <= 75 THEN 3 WHEN d <= 200 THEN 2 WHEN d <= 500 THEN 1 ELSE 0 END AS g_dist, CASE WHEN ca IS NULL OR cb IS NULL THEN -1 WHEN ca = cb THEN 1 ELSE 0 END AS g_chain, CASE WHEN sa IS NULL OR sb IS NULL THEN -1 WHEN abs(sa - sb) <= 0.5 THEN 1 ELSE 0 END AS g_star FROM feat0""")
 query("gamma_levels", lambda s, d: compared(s, d).select("record_id_l", "record_id_r", "gamma_name", "gamma_phone", "gamma_email", "gamma_domain", "gamma_distance", "gamma_chain", "gamma_type", "gamma_star"), "SELECT l AS record_id_l, r AS record_id_r, g_name AS gamma_name, g_phone AS gamma_phone, g_email AS gamma_email, g_domain AS gamma_domain, g_dist AS gamma_distance, g_chain AS gamma_chain, -1 AS gamma_type, g_star AS gamma_star FROM feat")
 
+query("gamma_levels_v2", lambda s, d: scoring.compared(compared(s, d).select("record_id_l", "record_id_r", "provider_l", "provider_r"), normalized(s, d).records, match_tokens=False).select("record_id_l", "record_id_r", "gamma_name"),
+      "SELECT l AS record_id_l, r AS record_id_r, CASE WHEN len(ca) = 0 OR len(cb) = 0 THEN -1 WHEN list_sort(ca) = list_sort(cb) THEN 5 WHEN j >= 0.85 THEN 4 WHEN j >= 0.65 THEN 3 WHEN j >= 0.45 THEN 2 WHEN j > 0 THEN 1 ELSE 0 END AS gamma_name FROM (SELECT l, r, a.core AS ca, b.core AS cb, len(list_intersect(a.core, b.core))::DOUBLE / len(list_distinct(list_concat(a.core, b.core))) AS j FROM cand JOIN pol a ON a.record_id = l JOIN pol b ON b.record_id = r)")
+
 
 def _weights(k: str, column: str) -> str:
     import math
@@ -355,6 +358,8 @@ step("why", _why(20, 500, 1000))
 step("whys", _why(2, 5, 20))
 _STATUS = "CASE WHEN len(reasons) = 0 THEN 'auto_accept' ELSE 'review' END"
 query("cluster_status", lambda s, d: cluster_of(s, d, "v2_2").clusters.select("root", F.array_join("review_reasons", ",").alias("reasons"), "cluster_status"), f"SELECT root, array_to_string(reasons, ',') AS reasons, {_STATUS} AS cluster_status FROM why")
+query("assembled_diagnostics", lambda s, d: cluster_of(s, d, "v2_2").clusters.select("root", "cluster_id", "cluster_size", "provider_count", "edge_count", F.round("min_edge_probability", 6).alias("min_p"), "max_same_provider", "same_provider_dup", "benign_same_provider_dup", "has_contact_evidence", "name_signature_count", F.round("min_pairwise_name_match_jaccard", 6).alias("min_j"), F.round("max_geo_diameter_m").alias("diameter"), "is_building_merge", "entity_level", F.size("review_reasons").alias("reasons")),
+      "SELECT root, cluster_id, cluster_size, provider_count, edge_count, round(min_p, 6) AS min_p, max_same AS max_same_provider, max_same > 1 AS same_provider_dup, max_same > 1 AND coalesce(benign, false) AS benign_same_provider_dup, contact AS has_contact_evidence, name_sigs AS name_signature_count, round(min_j, 6) AS min_j, round(diam) AS diameter, false AS is_building_merge, 'property' AS entity_level, len(reasons) AS reasons FROM cc JOIN ed USING (root) JOIN pdup USING (root) JOIN np USING (root) JOIN why USING (root) LEFT JOIN spp USING (root) LEFT JOIN sdom USING (root)")
 query("reason_histogram", lambda s, d: clusters.reason_counts(cluster_of(s, d, "v2_2").clusters), "SELECT reason, count(*) AS clusters, sum(cluster_size)::BIGINT AS records FROM (SELECT unnest(reasons) AS reason, cluster_size FROM why JOIN cc USING (root)) GROUP BY reason")
 query("cluster_members", lambda s, d: cluster_of(s, d, "v2_2").members, f"SELECT y.record_id, y.provider, cluster_id, CASE WHEN root IS NULL THEN 'singleton_unmatched' WHEN {_STATUS} = 'auto_accept' THEN 'matched_cluster' ELSE 'review_cluster' END AS status, coalesce(y.record_id = representative_record_id, true) AS is_representative FROM ready y LEFT JOIN root USING (record_id) LEFT JOIN cc USING (root) LEFT JOIN why USING (root)")
 query("size_histogram", lambda s, d: explore.size_histogram(cluster_of(s, d, "v2_2").clusters), f"SELECT cluster_size, count(*) FILTER ({_STATUS} = 'auto_accept') AS auto_accept, count(*) FILTER ({_STATUS} = 'review') AS review FROM cc JOIN why USING (root) GROUP BY cluster_size")
@@ -449,7 +454,11 @@ step("why21", """SELECT root, len(list_filter([max_same > 1, cluster_size > 20,
 _SUM = lambda ok, frm: f"SELECT unnest(['clusters_total', 'auto_accepted', 'review', 'largest_cluster_size', 'records_in_auto', 'records_in_review']) AS metric, unnest([count(*), count(*) FILTER ({ok}), count(*) FILTER (NOT ({ok})), coalesce(max(cluster_size), 0), coalesce(sum(cluster_size) FILTER ({ok}), 0)::BIGINT, coalesce(sum(cluster_size) FILTER (NOT ({ok})), 0)::BIGINT])::DOUBLE AS v FROM {frm} JOIN cc USING (root)"
 _SIX = ("clusters_total", "auto_accepted", "review", "largest_cluster_size", "records_in_auto", "records_in_review")
 query("version_delta", lambda s, d: gate.delta(*(clusters.summary(cluster_of(s, d, v).clusters).select(*_SIX) for v in ("v2_1", "v2_2"))), f"SELECT metric, a.v AS old, b.v AS new, b.v - a.v AS delta FROM ({_SUM('n = 0', 'why21')}) a JOIN ({_SUM('len(reasons) = 0', 'why')}) b USING (metric)")
-query("entity_summaries", lambda s, d: export.entity_summaries(export.with_entity_ids(cluster_of(s, d, "v2_2").members, normalized(s, d).records, "XX"), normalized(s, d).records).drop("members", "property_name"))
+step("ents", "SELECT y.record_id, y.provider, y.country, string_split(y.record_id, '::')[2] AS code, coalesce(cluster_id, 'XX_GH6-' || upper(substr(md5(y.provider || '::' || string_split(y.record_id, '::')[2]), 1, 16))) AS entity_id, CASE WHEN coalesce(y.record_id = representative_record_id, true) THEN 0 ELSE 1 END AS o FROM ready y LEFT JOIN root USING (record_id) LEFT JOIN cc USING (root)")
+query("entity_summaries", lambda s, d: export.entity_summaries(export.with_entity_ids(cluster_of(s, d, "v2_2").members, normalized(s, d).records, "XX"), normalized(s, d).records).drop("members", "property_name"),
+      """SELECT entity_id, provider AS representative_provider, code AS representative_code, country AS country_code, cluster_size, supplier_count, supplier_breakdown FROM (
+  SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY o, record_id) AS rn, count(*) OVER (PARTITION BY entity_id) AS cluster_size FROM ents) JOIN (
+  SELECT entity_id, count(*) AS supplier_count, '{' || string_agg('"' || provider || '":' || n, ',' ORDER BY provider) || '}' AS supplier_breakdown FROM (SELECT entity_id, provider, count(*) AS n FROM ents GROUP BY ALL) GROUP BY entity_id) USING (entity_id) WHERE rn = 1""")
 query("conflict_splits", lambda s, d: cluster_of(s, d, "v2_4").conflicts)
 query("sig_city_adoption", lambda s, d: cluster_of(s, d, "v2_4").edges.where("gate_reason = 'sig_city_adoption'").select("record_id_l", "record_id_r", "cluster_id"))
 query("cluster_diagnostics", lambda s, d: cluster_of(s, d, "v2_4").clusters.drop("providers_present"))
