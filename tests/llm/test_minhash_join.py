@@ -73,3 +73,33 @@ def test_components(spark):
     got = {r.id: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: find(i) for a, b in edges for i in (a, b) if a != b or any(i in e and e[0] != e[1] for e in edges)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_recall_by_similarity_band():
+    """Pairs of random sets that have enough equal coordinates to share a list in both prefixes, by similarity."""
+    import numpy as np
+
+    rng, functions, recall = np.random.default_rng(6), near.functions_of(near.COORDINATES), {}
+    for low, high in ((0.80, 0.82), (0.82, 0.85), (0.85, 0.90), (0.90, 1.0)):
+        found = 0
+        for _ in range(400):
+            n, share = int(rng.integers(20, 400)), rng.uniform(low, high)
+            own = max(0, int(np.floor(n * (1 - share) / (1 + share))))  # of each set alone: a similarity of share or just over it
+            both, a, b = (rng.integers(1, 1 << 63, k).astype(np.uint64) for k in (n - own, own, own))
+            x, y = (near.signature(np.sort(np.concatenate([both, s])), *functions) for s in (a, b))
+            found += int((x == y).sum() >= near.MATCHES)
+        recall[low, high] = found / 400
+    print(recall)
+    assert all(r >= 0.995 for r in recall.values())
+
+
+def test_links_that_no_hub_has(frame):
+    """Two sets that are near each other, and near enough to a third to meet it in lists but not to be linked with it."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(w if rng.random() > 0.02 else f"x{rng.randrange(10**6)}" for w in base)) for i in range(30)]
+    far = [w if k % 6 else f"far{k}" for k, w in enumerate(base)]
+    rows += [(100 + i, " ".join(w if rng.random() > 0.03 else f"y{rng.randrange(10**6)}" for w in far)) for i in range(12)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(frame(rows), 2).collect()}
+    assert [got[d] for d, _ in rows] == brute(rows, 2)
+    assert len({c for _, c in got.values()}) > 1
