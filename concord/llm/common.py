@@ -83,6 +83,14 @@ def set_aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return docs.withColumnsRenamed({c: n for n, c in names.items()}) if own else docs, names
 
 
+def plain_scan(df: DataFrame) -> bool:
+    """Whether each row is one row of a file, with columns chosen and rows left out at most: after a join or a union places don't tell rows apart."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    return plan.getClass().getSimpleName() == "LogicalRelation"
+
+
 def located(docs: DataFrame) -> DataFrame:
     """docs with ``__file`` and ``__row``, which tell equal rows apart and stay the same when a task runs again.
 
@@ -92,12 +100,12 @@ def located(docs: DataFrame) -> DataFrame:
     docs, _ = set_aside(docs)
     if {"__file", "__row"} <= set(docs.columns):
         return docs
+    if not plain_scan(docs):
+        return located(written(docs, "located"))
     place = [F.col(f"_metadata.{c}").alias(n, metadata=PLACE) for c, n in (("file_path", "__file"), ("row_index", "__row"))]
     try:
         return docs.select("*", *place)
-    except AnalysisException as e:  # the frame isn't a plain scan of files
-        if "UNRESOLVED" not in (e.getCondition() or ""):
-            raise
+    except AnalysisException:  # a format whose rows have no number
         return located(written(docs, "located"))
 
 

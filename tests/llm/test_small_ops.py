@@ -240,3 +240,18 @@ def test_codewords():
     for n in (2, 3, 4, 5, 8, 20):
         codes = lid.codewords(n)
         assert len({tuple(c) for c in codes}) == n and (abs(codes.sum(0)) < n).all()
+
+
+def test_places_tell_rows_apart(spark, frame, tmp_path):
+    """Scans have places; frames of any other kind are written first, and rows that a join repeats have a place each."""
+    from concord.llm.common import located
+
+    docs = frame([(1, "a"), (2, "b")])
+    docs.write.parquet(f"{tmp_path}/p")
+    docs.select("doc_id", "text").write.json(f"{tmp_path}/j")
+    scan, twice = spark.read.parquet(f"{tmp_path}/p"), spark.createDataFrame([(1,), (1,), (2,)], "doc_id long")
+    frames = {"scan": scan, "chosen": scan.where("doc_id > 0").select("text", "doc_id"), "json": spark.read.schema("doc_id long, text string").json(f"{tmp_path}/j"), "join": scan.join(twice, "doc_id"), "union": scan.union(scan), "made": docs}
+    for name, df in frames.items():
+        rows = located(df).select("__file", "__row").collect()
+        assert len(set(rows)) == len(rows) == df.count(), name
+    assert "written" not in str(located(scan).inputFiles()) and located(scan).inputFiles() == scan.inputFiles()
