@@ -85,7 +85,8 @@ class Conversation:
         self.system, self.known, self.windows, self.begun = [], 0, 0, False
 
     def add(self, role: str, text: str):
-        turn = (role, text, self.count("".join(formatted(role, text)) + END + "\n"))
+        # the line feed after a mark is a token by itself, and without it the turn's last word is one that is known
+        turn = (role, text, self.count("".join(formatted(role, text)) + END) + self.count("\n"))
         if not self.begun and role == "system":
             self.system, self.system_new = [turn], True
             self.begun = True
