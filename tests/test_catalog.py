@@ -54,3 +54,20 @@ def test_chain_with_phones(spark, tmp_path):
     # codes of other lengths than six are keys of scoring too, and those that only look like a default
     normal = catalog.normalized(spark, str(tmp_path)).records.withColumns({"postal_code_final": F.lit("1234"), "property_name_blocking_tokens": F.array(F.lit("same"))})
     assert blocking.same_city_postal_token(normal).count() == 11 and blocking.same_city_postal_token(normal, "^[1-9][0-9]{5}$").count() == 0
+
+
+def test_names_are_not_stored_many_times(spark, tmp_path):
+    """A query writes what it needs of the chain: before, every query wrote all features, 24 times the input."""
+    import random
+    from pathlib import Path
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(3000)]
+    rows = [(i, " ".join(rng.choices(words, k=400)), "en", f"src{i % 5}", 2000 + i) for i in range(800)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    size = lambda p: sum(x.stat().st_size for x in Path(p).rglob("*.parquet"))
+    shared, given = spark.conf.get("spark.checkpoint.dir"), size(tmp_path / "documents.parquet")
+    start = size(shared)
+    for name, most in (("name_tokens", 0.01), ("phone_extract", 0.5), ("domain_reuse", 0.5), ("rare_tokens", 2), ("match_tokens", 2.5), ("rare_token_tags", 2.5)):
+        assert catalog.QUERIES[name](spark, str(tmp_path)).count() >= 0
+        assert size(shared) - start <= most * given, name

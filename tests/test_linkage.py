@@ -224,3 +224,22 @@ def test_keywords_of_the_configuration(spark):
     s = Settings.of({"country": "XX", "property_type_maps": {"keywords": {"boat": ["ship"], "hotel": ["hotel"]}}})
     raw = spark.createDataFrame([("1", "p", "ship hotel"), ("2", "p", "resort")], "record_id string, provider string, property_type_clean string")
     assert [r.property_type_norm for r in type_features(raw.withColumn("hotel_chain_clean", F.lit(None).cast("string")), s).orderBy("record_id").collect()] == ["boat", "unknown"]
+
+
+def test_overcommon_counts_names_that_fall_together(spark):
+    """Names are told apart by groups of hashes first; where these are too few, names are counted."""
+    hashes = {"groups": range(10), "together": [64 * i for i in range(10)], "nine": range(9), "nine_together": [64 * i for i in range(9)], "one": [5]}
+    rows = [(f"{t}{i}", f"p{i % 4}", "x", None, h, t) for t, hs in hashes.items() for i, h in enumerate(list(hs) * 20)]
+    exploded = spark.createDataFrame(rows, "record_id string, provider string, city_name_norm string, cell string, name_hash long, token string")
+    records = exploded.select("record_id", "city_name_norm")
+    found = tokens.city_overcommon(records, exploded, tokens.city_stats(exploded), tokens.TokenConfig())
+    assert {r.token for r in found.collect()} == {"groups", "together"}
+
+
+def test_plain_letters_pass_as_they_are(spark):
+    from concord.functions import text
+
+    given = ["Café & Bar", "plain", "ﬁne Straße", "n/a", None, "  ", "ÆGIR ó"]
+    rows = spark.createDataFrame([(x,) for x in given], "x string").select(text.name_norm(F.col("x")).alias("n"), text.clean_text(F.col("x")).alias("c")).collect()
+    assert [r.n for r in rows] == ["cafe and bar", "plain", "ne strasse", "n a", None, None, "aegir o"]
+    assert [r.c for r in rows] == ["café & bar", "plain", "ﬁne straße", None, None, None, "ægir ó"]
