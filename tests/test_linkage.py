@@ -243,3 +243,11 @@ def test_plain_letters_pass_as_they_are(spark):
     rows = spark.createDataFrame([(x,) for x in given], "x string").select(text.name_norm(F.col("x")).alias("n"), text.clean_text(F.col("x")).alias("c")).collect()
     assert [r.n for r in rows] == ["cafe and bar", "plain", "ne strasse", "n a", None, None, "aegir o"]
     assert [r.c for r in rows] == ["café & bar", "plain", "ﬁne straße", None, None, None, "ægir ó"]
+
+
+def test_common_words_that_are_rare_somewhere_are_tagged(spark):
+    exploded = spark.createDataFrame([("a", "x", "often"), ("a", "x", "here"), ("b", "y", "often"), ("b", "y", "once"), ("c", None, "often")], "record_id string, city_name_norm string, token string")
+    rare, city = spark.createDataFrame([("once",)], "token string"), spark.createDataFrame([("x", "often"), ("x", "here")], "city_name_norm string, token string")
+    for common in ((), ("often",), ("often", "once", "here")):
+        found = {r.record_id: (r.property_name_rare_tokens_global, r.property_name_rare_tokens_city) for r in tokens.rare_tags(exploded.select("record_id").distinct(), exploded, rare, city, common).collect()}
+        assert found == {"a": ([], ["here", "often"]), "b": (["once"], []), "c": ([], [])}
