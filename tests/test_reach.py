@@ -54,9 +54,12 @@ def test_most_pairs_without_anything_in_common_are_not_made(spark):
 
 def test_needed():
     everything = (1 << len(reach.NEEDS)) - 1
-    assert reach.needed(MODEL, 0.01, everything, everything) == 2
+    # -9.96 of the prior, -4.04 of contacts that differ, 9.84 of place, chain, type and stars: -2 of a word in common passes -6.63, -5.32 of none doesn't
+    assert reach.needed(MODEL, 0.01, everything, everything) == 1
+    untyped = everything - (1 << list(reach.NEEDS).index("gamma_type"))
+    assert reach.needed(MODEL, 0.01, untyped, everything) == 2
     assert reach.needed(MODEL, 0.01, everything, everything - 1) == 0  # a name without words tells nothing against a pair
-    assert reach.needed(MODEL, 0.01, 1, 1) == 3
+    assert reach.needed(MODEL, 0.01, 1, 1) == 4  # 4.32 on -9.96, where 2.32 is too little
     assert reach.needed(MODEL, 0.999999, everything, everything) == 5
 
 
