@@ -71,3 +71,20 @@ def test_names_are_not_stored_many_times(spark, tmp_path):
     for name, most in (("name_tokens", 0.01), ("phone_extract", 0.5), ("domain_reuse", 0.5), ("rare_tokens", 2), ("match_tokens", 2.5), ("rare_token_tags", 2.5)):
         assert catalog.QUERIES[name](spark, str(tmp_path)).count() >= 0
         assert size(shared) - start <= most * given, name
+
+
+def test_statistics_of_few_words(spark, duck, tmp_path):
+    """Queries on few words make statistics of these alone: before, of all words by provider, city and cell."""
+    from pathlib import Path
+
+    texts = [(i, f"the chain common{i % 3} " + " ".join(f"word{i}x{k}" for k in range(40)), "en fr de".split()[i % 3], f"src{i % 5}", 900 + i) for i in range(300)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    own = duck.cursor()
+    own.sql(f"create or replace temp view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    there = set(shared.iterdir())
+    for name, most in (("rare_tokens", 0),):
+        got, want = catalog.QUERIES[name](spark, str(tmp_path)), own.sql(catalog.ORACLE[name])
+        assert rows(got.columns, got.collect()) == rows(want.columns, want.fetchall()) and got.count() > 0, name
+        made = [spark.read.parquet(str(p)).count() for p in shared.iterdir() if p not in there and p.name.startswith(("coverage", "stats"))]
+        assert sum(made) <= most, name
