@@ -83,7 +83,7 @@ def test_statistics_of_few_words(spark, duck, tmp_path):
     own.sql(f"create or replace temp view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
     there = set(shared.iterdir())
-    for name, most in (("rare_tokens", 0), ("brand_candidates", 9)):
+    for name, most in (("rare_tokens", 0), ("brand_candidates", 9), ("low_value_tokens", 30)):
         got, want = catalog.QUERIES[name](spark, str(tmp_path)), own.sql(catalog.ORACLE[name])
         assert rows(got.columns, got.collect()) == rows(want.columns, want.fetchall()) and got.count() > 0, name
         made = [spark.read.parquet(str(p)).count() for p in shared.iterdir() if p not in there and p.name.startswith(("coverage", "stats"))]
