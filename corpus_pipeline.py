@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concord.llm.common import located, set_aside, written
+from concord.llm.common import located, set_aside, small_batches, written
 from concord.llm.decontamination import decontaminated
 from concord.llm.exact_dedup import exact_dedup
 from concord.llm.language_id import held_for_test, identified, learn
@@ -25,6 +25,7 @@ from concord.llm.packing import cost_balanced_packing
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null text, or no letter in it) go; where ``lang`` is null, it becomes the one identified."""
+    small_batches(spark)
     return identified(docs, learn(docs.where(~held_for_test())))
 
 
@@ -44,16 +45,19 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: five words, a similarity of 0.8."""
+    small_batches(spark)
     return without(docs, lambda places: near_duplicates(places, shingle_words=5, percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
+    small_batches(spark)
     return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 2048 tokens."""
+    small_batches(spark)
     return cost_balanced_packing(docs)
 
 

@@ -84,3 +84,28 @@ def test_odd_rows(spark, folder, tmp_path):
         assert all((r["__file"], r["__row"], r.kept, r.key, r.batch, r.n, r.set_id) == ("f", 7, "k", "x", 3, 9, "z") for r in found)
         assert all(r.lang == "en" for r in found)  # filled where it was null: the one language known
     assert sum(r.length for r in pipeline.packing(spark, docs, path).collect()) > 30_000
+
+
+def test_python_workers_get_small_batches(spark):
+    """Texts go to Python workers by the bytes: before, by 10,000 rows of any length."""
+    import pyarrow as pa
+
+    from concord.llm.common import BATCH_BYTES, small_batches
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    given = spark.conf.get(name)
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('ab cd ', 1000) as text", "'en' as lang").coalesce(1)
+    try:
+        pipeline.packing(spark, docs, "")
+        found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(found) > 4 * BATCH_BYTES and max(found) < 1.5 * BATCH_BYTES
+        spark.conf.set(name, "1m")
+        small_batches(spark)
+        assert spark.conf.get(name) == "1m"  # a smaller limit stays
+    finally:
+        spark.conf.set(name, given)
