@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from concord.operators import blocking, scoring
-from concord.sources.checkpoints import written
+from concord.sources.checkpoints import step
 
 #: Comparisons and the fields without which they tell nothing.
 NEEDS = {"gamma_name": ("property_name_match_tokens",), "gamma_phone": ("phone_last10_non_reused_list",), "gamma_email": ("email_norm_list",), "gamma_domain": ("website_domain_norm",), "gamma_distance": ("lat_norm", "lng_norm"), "gamma_chain": ("hotel_chain_norm",), "gamma_type": ("property_type_norm",), "gamma_star": ("star_rating_norm",)}
@@ -156,13 +156,13 @@ def compared(records: DataFrame, lists: DataFrame, model: scoring.Model, floor:
     lists: the records' words for matching and blocking, apart, for they are long.
     """
     rows, lists = ready(records), hashed(lists)
-    found = written(pairs(rows, lists, model, floor), "reach")
+    found = step(pairs(rows, lists, model, floor), "reach")
     small = scoring.with_fields(found, rows.withColumn("__has", fields_of()), (*scoring.COMPARED, "country_code_norm", "__k0", "__k1", "__k2", "__k4", "__has"))
     equal = F.coalesce(F.col("property_name_match_signature_l") == F.col("property_name_match_signature_r"), F.lit(False))
     # the lists are joined to pairs that can score floor with all that is known without them
-    small = written(small.where(equal | (_most(model, (*CONTACTS, *SMALL)) >= math.log2(floor / (1 - floor)) - SLACK)), "near")
+    small = step(small.where(equal | (_most(model, (*CONTACTS, *SMALL)) >= math.log2(floor / (1 - floor)) - SLACK)), "near")
     words = ("property_name_match_tokens", "property_name_blocking_tokens")
     wide = scoring.with_fields(small.select("record_id_l", "record_id_r", *(f"{c}_{s}" for c in ("country_code_norm", "phone_last10_non_reused_list", "__k0", "__k1", "__k2", "__k4") for s in "lr")), lists, words)
     # written, for one expression of all levels on the lists is more than the JVM compiles
-    named = written(wide.select("record_id_l", "record_id_r", _rule().alias("match_key"), *scoring.name_overlap(words[0])).where("match_key is not null"), "named")
+    named = step(wide.select("record_id_l", "record_id_r", _rule().alias("match_key"), *scoring.name_overlap(words[0])).where("match_key is not null"), "named")
     return scoring.levels(small.join(named, ["record_id_l", "record_id_r"]), overlap=(F.col("name_jac"), F.col("name_shared")))
