@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from concord.operators import blocking, reach, scoring, tokens
+from concord.operators import blocking, gate, reach, scoring, tokens
 
 MODEL = scoring.Model(scoring.FIXED.m, scoring.FIXED.u, 1e-3)
 TYPES = "record_id string, provider string, country_code_norm string, city_name_norm string, postal_code_final string, cell string, cell_wide string, names array<string>, lat_norm double, lng_norm double, phone_last10_non_reused_list array<string>, email_norm_list array<string>, website_domain_norm string, website_reused_flag boolean, hotel_chain_norm string, star_rating_norm double"
@@ -70,3 +70,24 @@ def test_overcommon_words_by_counts_alone(spark):
     each = tokens.exploded(rows)
     found = lambda counts: sorted(map(tuple, tokens.city_overcommon(rows, each, counts).collect()))
     assert found(tokens.city_counts(each)) == found(tokens.city_stats(each)) != []
+
+
+def test_large_places_in_chunks(spark, monkeypatch):
+    """A place of more records than a task holds is searched by its chunks: no pair is lost or found twice."""
+    rows = records(spark).cache()
+    lists = rows.select("record_id", *reach.PLACED, "property_name_match_tokens", "property_name_blocking_tokens")
+    found = lambda: sorted(tuple(r) for r in reach._by_words(reach.ready(rows).withColumn("__has", reach.fields_of()), reach.hashed(lists), "__k0", MODEL, 0.01, ["record_id", "provider"]).collect())
+    whole = found()
+    monkeypatch.setattr(reach, "CHUNK", 70)
+    assert found() == whole and len(whole) > 50
+
+
+def test_scored_pairs_carry_their_evidence(spark):
+    """Before, audit and gate joined the lists of words of both records to each pair."""
+    rows = records(spark).cache()
+    lists = rows.select("record_id", "property_name_match_tokens", "property_name_blocking_tokens")
+    scores = scoring.scored(reach.compared(rows, lists, MODEL, 0.01), MODEL, scoring.frequencies(rows)).cache()
+    plain = scores.drop(*scoring.EVIDENCE)
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect())) != []
+    assert same(scoring.audit(scores, None), scoring.audit(plain, rows))
+    assert same(gate.features(scores, None), gate.features(plain, rows))
